@@ -46,8 +46,9 @@ def first_match(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
 def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """One row per key, always the same one: rows are ordered by all other columns unless
     ``order`` says otherwise, so only identical rows can tie."""
-    rest = [c for c in df.columns if c not in set(keys)]
-    return first_match(df, keys, rest if order is None else order)
+    if order is None:
+        order = [c for c in df.columns if c not in set(keys)]
+    return first_match(df, keys, order) if order else df.dropDuplicates(list(keys))
 
 
 def inspect(df: DataFrame, rows: int = 5, quiet: bool = False) -> DataFrame:

@@ -57,9 +57,10 @@ def build_dimensions(
             "DimDate": lambda: dim_date_narrow(header),
         }
     # The dimensions do not depend on each other: their jobs share the cluster.
+    with_tags = inheritable_thread_target(header.sparkSession)
     with ThreadPoolExecutor(len(builders)) as pool:
         jobs = {
-            name: pool.submit(inheritable_thread_target(lambda n, b: settle(b(), n)), name, build)
+            name: pool.submit(with_tags(lambda n, b: settle(b(), n)), name, build)
             for name, build in builders.items()
         }
         return {name: job.result() for name, job in jobs.items()}
