@@ -42,7 +42,7 @@ from starloom.plans.schemas import (
     table_schema,
 )
 from starloom.plans.star import build_dimensions, reports
-from starloom.sinks import load_star, parquet_sink, save_tables, write_csv, write_parquet
+from starloom.sinks import ParquetSink, load_star, save_tables, write_csv, write_parquet
 from starloom.sources.dumps import read_records, read_tsv
 from starloom.sources.retail import SOURCES, retail_source, retail_table
 from starloom.staging import new_path, settle
@@ -132,7 +132,8 @@ def scan_tab_separated(spark: SparkSession, folder: str) -> DataFrame:
     with a declared schema."""
     table = retail_source(spark, folder)("Customer")
     path = new_path(spark, "customer_dump")
-    text = table.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in table.columns]))
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in table.columns]
+    text = table.select(F.concat_ws("\t", *fields))
     text.write.text(path)
     return read_tsv(spark, path, table.schema)
 
@@ -288,7 +289,7 @@ def lookup_product_category(spark: SparkSession, folder: str) -> DataFrame:
     product, subcategory, category = _goods(spark, folder)
     named = lookup(
         product.select("ProductID", "ProductSubcategoryID"),
-        subcategory,
+        settle(subcategory, "subcategories"),
         on={"ProductSubcategoryID": "ProductSubcategoryID"},
         take={"Name": "SubcategoryName", "ProductCategoryID": "ProductCategoryID"},
     )
@@ -583,7 +584,8 @@ def audit_foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
 def audit_foreign_key_cleaned(spark: SparkSession, folder: str) -> DataFrame:
     """Customers of the narrow fact that the cleaned wide dimension has dropped."""
     fact = star_tables(spark, folder, "narrow")[FACT]
-    return audit_foreign_key(fact, dimension_tables(spark, folder, "wide")["DimCustomer"], "CustomerKey")
+    customers = dimension_tables(spark, folder, "wide")["DimCustomer"]
+    return audit_foreign_key(fact, customers, "CustomerKey")
 
 
 @query
@@ -700,8 +702,10 @@ def sink_roundtrip_csv(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def sink_roundtrip_table(spark: SparkSession, folder: str) -> DataFrame:
     """The narrow star recreated as catalog tables, then joined by name."""
-    save_tables(star_tables(spark, folder, "narrow"), new_path(spark, "catalog"))
-    fact, product = spark.table(FACT), spark.table("DimProduct")
+    root = new_path(spark, "catalog")
+    database = "starloom_" + root.split("/")[-2]  # never an existing one: its tables are dropped
+    save_tables(star_tables(spark, folder, "narrow"), root, database)
+    fact, product = spark.table(f"{database}.{FACT}"), spark.table(f"{database}.DimProduct")
     return revenue_by(fact, product, "ProductKey", ["ProductSubcategory"], "SalesAmount")
 
 
@@ -709,6 +713,7 @@ def sink_roundtrip_table(spark: SparkSession, folder: str) -> DataFrame:
 def loaded_star_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of each narrow table after an ordered load to sorted Parquet."""
     star, root = star_tables(spark, folder, "narrow"), new_path(spark, "loaded")
-    load_star(star, parquet_sink(root))
-    loaded = {name: spark.read.parquet(f"{root}/{name}") for name in star}
+    sink = ParquetSink(root)
+    load_star(star, sink)
+    loaded = {name: sink.read(spark, name) for name in star}
     return audit_summary(loaded).withColumnsRenamed({"Rule": "TableName", "Findings": "Rows"})

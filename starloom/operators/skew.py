@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000  # rows of one key that one task should not have to take alone
-SAMPLE = 0.001
+SAMPLE = 0.0001  # finds a hot key by some 500 sampled rows
 MAX_HOT_KEYS = 2_000  # bounds what reaches the driver; further keys join the usual way
 MAX_WAYS = 1 << 16
 

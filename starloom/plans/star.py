@@ -116,11 +116,15 @@ def run_warehouse(
     mode: str = "overwrite",
     ids: str = "int",
 ) -> dict[str, DataFrame]:
-    """Read, build, load, report. The fact is written once and both the load and the reports
-    read that table. Returns the star."""
+    """Read, build, load, report; returns the star. The reports read what the sink has written
+    where it can be read back; else the fact is staged, so that it is computed once."""
     star = build_star(source, model, ids)
-    star[FACT] = settle(star[FACT], FACT)
+    read_back = getattr(sink, "read", None)
+    if read_back is None:
+        star[FACT] = settle(star[FACT], FACT)
     load_star(star, sink, mode)
+    if read_back is not None:
+        star = {name: read_back(df.sparkSession, name) for name, df in star.items()}
     if report_sink is not None:
         for name, df in reports(star, model).items():
             report_sink(name, df)

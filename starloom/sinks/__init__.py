@@ -1,12 +1,12 @@
 from starloom.sinks.files import write_csv, write_parquet
 from starloom.sinks.jdbc import append_new_rows, write_jdbc
-from starloom.sinks.star import load_order, load_star, parquet_sink, save_tables
+from starloom.sinks.star import ParquetSink, load_order, load_star, save_tables
 
 __all__ = [
+    "ParquetSink",
     "append_new_rows",
     "load_order",
     "load_star",
-    "parquet_sink",
     "save_tables",
     "write_csv",
     "write_jdbc",

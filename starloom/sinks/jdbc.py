@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starloom.sources.jdbc import read_jdbc
 
 
 def write_jdbc(
@@ -40,8 +43,14 @@ def append_new_rows(
 ) -> None:
     """Append the rows whose key the table does not hold yet, so that a second run adds none."""
     columns = ", ".join(f'"{k}"' for k in keys)
-    held = df.sparkSession.read.jdbc(
-        url, f"(SELECT {columns} FROM {table}) held", properties=dict(properties)
+    part_col = f'"{keys[0]}"' if isinstance(df.schema[keys[0]].dataType, T.IntegralType) else None
+    held = read_jdbc(
+        df.sparkSession,
+        url,
+        f"(SELECT {columns} FROM {table}) held",
+        properties,
+        part_col,
+        partitions=connections,
     )
     held = held.select(*[F.col(c).alias(k) for c, k in zip(held.columns, keys)])
     new = df.join(held, list(keys), "left_anti").select(*df.columns)

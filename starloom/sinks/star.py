@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from starloom.plans.schemas import FOREIGN_KEYS, LOOKUP_COLUMNS
 from starloom.sinks.files import write_parquet
@@ -27,19 +27,27 @@ def load_star(tables: Mapping[str, DataFrame], sink: Sink, mode: str = "overwrit
         sink(name, tables[name], mode)
 
 
-def parquet_sink(root: str, sort: bool = True) -> Sink:
-    """One folder per table under ``root``, sorted by the columns readers look up."""
+class ParquetSink:
+    """One folder per table under ``root``, sorted by the columns readers look up. What it
+    wrote can be read back, so that reports need no other copy."""
 
-    def write(name: str, df: DataFrame, mode: str) -> None:
-        sort_by = [c for c in LOOKUP_COLUMNS.get(name, []) if c in df.columns] if sort else []
-        write_parquet(df, f"{root}/{name}", mode, sort_by=sort_by)
+    def __init__(self, root: str, sort: bool = True):
+        self.root, self.sort = root, sort
 
-    return write
+    def __call__(self, name: str, df: DataFrame, mode: str) -> None:
+        columns = LOOKUP_COLUMNS.get(name, []) if self.sort else []
+        sort_by = [c for c in columns if c in df.columns]
+        write_parquet(df, f"{self.root}/{name}", mode, sort_by=sort_by)
 
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        return spark.read.parquet(f"{self.root}/{name}")
 
-def save_tables(tables: Mapping[str, DataFrame], root: str, database: str = "default") -> None:
-    """Drop and recreate catalog tables with their files under ``root``, fact first."""
+
+def save_tables(tables: Mapping[str, DataFrame], root: str, database: str) -> None:
+    """Drop and recreate the tables of a catalog database, fact first, their files under
+    ``root``."""
     spark = next(iter(tables.values())).sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{root}'")
     for name in load_order(tables, "overwrite"):
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
     for name in load_order(tables, "overwrite"):

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-MONEY = "decimal(15,2)"
+MONEY, RATE = "decimal(12,2)", "decimal(4,2)"  # a product of both still fits 18 digits
 
 
 def retail_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -181,7 +181,7 @@ def _header(read) -> DataFrame:
 
 def _detail(read) -> DataFrame:
     """Lines are shipped from the supplier, whose address is the line's place."""
-    price, discount = F.col("l_extendedprice").cast(MONEY), F.col("l_discount").cast(MONEY)
+    price, discount = F.col("l_extendedprice").cast(MONEY), F.col("l_discount").cast(RATE)
     return read("lineitem").select(
         F.col("l_orderkey").alias("SalesOrderID"),
         F.col("l_linenumber").alias("SalesOrderDetailID"),
@@ -190,7 +190,7 @@ def _detail(read) -> DataFrame:
         F.col("l_quantity").alias("OrderQty"),
         price.alias("UnitPrice"),
         discount.alias("UnitPriceDiscount"),
-        (price * (F.lit(1).cast(MONEY) - discount)).alias("LineTotal"),
+        (price * (F.lit(1).cast("decimal(1,0)") - discount)).alias("LineTotal"),
         F.when(
             F.col("l_returnflag") != "N", F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
         ).alias("CarrierTrackingNumber"),
@@ -217,7 +217,11 @@ SOURCES: dict[str, Callable] = {
 def retail_source(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
     """``source(name)`` over the Parquet tables in ``folder``."""
 
+    opened: dict[str, DataFrame] = {}
+
     def read(table: str) -> DataFrame:
-        return retail_table(spark, folder, table)
+        if table not in opened:
+            opened[table] = retail_table(spark, folder, table)
+        return opened[table]
 
     return lambda name: SOURCES[name](read)
