@@ -421,11 +421,11 @@ NARROW_NEEDS = (
 )
 cte("fact_w", wide_fact(), *WIDE_NEEDS)
 cte("fact_n", narrow_fact("h.BillToAddressID"), *NARROW_NEEDS)
-sql("fact_wide_ship", "SELECT * FROM fact_w", "fact_w")
+sql("fact_wide", "SELECT * FROM fact_w", "fact_w")
 sql("fact_wide_hot_orders", "SELECT * FROM fact_w", "fact_w")
-sql("fact_wide_left_geography", wide_fact(kind="LEFT JOIN"), *WIDE_NEEDS)
+sql("fact_wide_left", wide_fact(kind="LEFT JOIN"), *WIDE_NEEDS)
 sql("fact_wide_bill", wide_fact("h.BillToAddressID"), *WIDE_NEEDS)
-sql("fact_narrow_bill", "SELECT * FROM fact_n", "fact_n")
+sql("fact_narrow", "SELECT * FROM fact_n", "fact_n")
 sql("fact_narrow_ship", narrow_fact("d.ShipToAddressID"), *NARROW_NEEDS)
 
 # --- expressions and rules -----------------------------------------------------------------
@@ -552,6 +552,13 @@ sql(
     {TOTAL_N} AS TotalSales FROM fact_n JOIN geography_all USING (GeographyKey) GROUP BY 1, 2""",
     "fact_n",
 )
+sql(
+    "sales_by_place",
+    f"""SELECT CountryRegionName AS CountryRegion, StateProvinceName AS StateProvince, City,
+    {TOTAL_N} AS TotalSales FROM fact_n JOIN geography_all USING (GeographyKey)
+    GROUP BY 1, 2, 3""",
+    "fact_n",
+)
 sql(
     "sales_by_geo_rollup",
     f"""SELECT CountryRegion, StateProvince, City,
@@ -642,7 +649,7 @@ sql(
     "fact_n",
 )
 sql(
-    "audit_foreign_keys",
+    "audit_foreign_key",
     union(
         f"SELECT '{key}' AS \"Rule\", count(DISTINCT f.{key}) AS Findings FROM fact_n f "
         f"WHERE f.{key} NOT IN (SELECT {key} FROM {table})"
@@ -669,10 +676,10 @@ def null_counts(table: str, columns: list[str]) -> str:
     )
 
 
-sql("audit_nulls", null_counts("fact_n", FACT_COLUMNS), "fact_n")
+sql("audit_not_null", null_counts("fact_n", FACT_COLUMNS), "fact_n")
 sql("audit_nulls_planted", null_counts(f"({PLANTED})", ["status", "priority", "day"]))
 sql(
-    "audit_lengths",
+    "audit_length",
     union(
         f"SELECT '{c}' AS ColumnName, count(*) FILTER (length({c}) > {n}) AS TooLong "
         "FROM customer_narrow"
@@ -681,7 +688,7 @@ sql(
     "customer_narrow",
 )
 sql(
-    "audit_quantity_range",
+    "audit_range",
     """SELECT 'OrderQty' AS ColumnName, count(*) FILTER (OrderQty NOT BETWEEN 1 AND 45)
     AS OutOfRange FROM sales_order_detail_src
     UNION ALL SELECT 'SalesOrderDetailID',
@@ -690,7 +697,7 @@ sql(
     "sales_order_detail_src",
 )
 sql(
-    "audit_casts",
+    "audit_cast",
     union(
         f"SELECT '{c}' AS ColumnName, count(*) FILTER ({c} IS NOT NULL AND "
         f"TRY_CAST({c} AS {t}) IS NULL) AS Rejected FROM ({LARGE})"
@@ -701,7 +708,7 @@ sql(
 # --- changes, privacy, semi-structured columns ---------------------------------------------
 
 sql(
-    "changed_customers",
+    "apply_changes",
     """SELECT c_custkey, CASE WHEN c_custkey % 10 = 1 THEN 'New ' || c_name ELSE c_name END
         AS c_name, CASE WHEN c_custkey % 10 <> 1 THEN c_nationkey END AS c_nationkey
     FROM customer WHERE c_custkey % 10 <> 0
@@ -710,7 +717,7 @@ sql(
 )
 _SPARSE = ["Color", "SizeUnitMeasureCode", "WeightUnitMeasureCode", "Class", "Style"]
 sql(
-    "sparse_product_set",
+    "sparse_set",
     "SELECT ProductID, concat_ws(';', "
     + ", ".join(f"'{c}=' || {c}" for c in _SPARSE)
     + ") AS ColumnSet FROM product_src",
@@ -723,12 +730,12 @@ sql(
     c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal, c_mktsegment FROM customer""",
 )
 sql(
-    "xml_column_fields",
+    "xml_fields",
     """SELECT c_custkey, c_name AS name, c_nationkey AS nation,
     CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance FROM customer""",
 )
 sql(
-    "xml_column_paths",
+    "xml_values",
     """SELECT c_custkey, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation,
     CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance FROM customer""",
 )

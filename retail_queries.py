@@ -55,7 +55,8 @@ _built: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register ``fn`` by its name; a trailing ``_query`` is left out."""
+    QUERIES[fn.__name__.removesuffix("_query")] = fn
     return fn
 
 
@@ -328,12 +329,12 @@ def join_header_detail(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def fact_wide_ship(spark: SparkSession, folder: str) -> DataFrame:
+def fact_wide_query(spark: SparkSession, folder: str) -> DataFrame:
     return fact_plan(spark, folder, "wide")
 
 
 @query
-def fact_wide_left_geography(spark: SparkSession, folder: str) -> DataFrame:
+def fact_wide_left_query(spark: SparkSession, folder: str) -> DataFrame:
     return fact_plan(spark, folder, "wide", geo_join="left")
 
 
@@ -344,12 +345,12 @@ def fact_wide_bill(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fact_wide_hot_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """The same rows as ``fact_wide_ship``, built as if single keys were too large for a task."""
-    return fact_plan(spark, folder, "wide", hot_rows=5)
+    """The same rows as ``fact_wide``, built as if keys of 2,000 rows were too large for a task."""
+    return fact_plan(spark, folder, "wide", hot_rows=2_000)
 
 
 @query
-def fact_narrow_bill(spark: SparkSession, folder: str) -> DataFrame:
+def fact_narrow_query(spark: SparkSession, folder: str) -> DataFrame:
     return fact_plan(spark, folder, "narrow")
 
 
@@ -516,6 +517,12 @@ def sales_by_state(spark: SparkSession, folder: str) -> DataFrame:
     return _narrow_by(spark, folder, "DimGeography", "GeographyKey", *levels)
 
 
+@query
+def sales_by_place(spark: SparkSession, folder: str) -> DataFrame:
+    levels = ("CountryRegion", "StateProvince", "City")
+    return _narrow_by(spark, folder, "DimGeography", "GeographyKey", *levels)
+
+
 @query
 def sales_by_geo_rollup(spark: SparkSession, folder: str) -> DataFrame:
     star = star_tables(spark, folder, "narrow")
@@ -570,7 +577,7 @@ def audit_fact_key(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def audit_foreign_keys(spark: SparkSession, folder: str) -> DataFrame:
+def audit_foreign_key_query(spark: SparkSession, folder: str) -> DataFrame:
     star = star_tables(spark, folder, "narrow")
     return audit_summary(
         {
@@ -589,7 +596,7 @@ def audit_foreign_key_cleaned(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def audit_nulls(spark: SparkSession, folder: str) -> DataFrame:
+def audit_not_null_query(spark: SparkSession, folder: str) -> DataFrame:
     fact = star_tables(spark, folder, "narrow")[FACT]
     return audit_not_null(fact, fact.columns)
 
@@ -600,19 +607,19 @@ def audit_nulls_planted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def audit_lengths(spark: SparkSession, folder: str) -> DataFrame:
+def audit_length_query(spark: SparkSession, folder: str) -> DataFrame:
     dim = star_tables(spark, folder, "narrow")["DimCustomer"]
     return audit_length(dim, {**MAX_LENGTHS["DimCustomer"], "EmailAddress": 14})
 
 
 @query
-def audit_quantity_range(spark: SparkSession, folder: str) -> DataFrame:
+def audit_range_query(spark: SparkSession, folder: str) -> DataFrame:
     detail = retail_source(spark, folder)("SalesOrderDetail")
     return audit_range(detail, {"OrderQty": (1, 45), "SalesOrderDetailID": (-32768, 32767)})
 
 
 @query
-def audit_casts(spark: SparkSession, folder: str) -> DataFrame:
+def audit_cast_query(spark: SparkSession, folder: str) -> DataFrame:
     types = {"total": "decimal(10,4)", "quantity": "tinyint"}
     return audit_cast(_large_totals(spark, folder), types)
 
@@ -621,7 +628,7 @@ def audit_casts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def changed_customers(spark: SparkSession, folder: str) -> DataFrame:
+def apply_changes_query(spark: SparkSession, folder: str) -> DataFrame:
     """Deletes, updates and inserts, with some of each that do not apply."""
     target = retail_table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
     key = F.col("c_custkey")
@@ -637,7 +644,7 @@ def changed_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def sparse_product_set(spark: SparkSession, folder: str) -> DataFrame:
+def sparse_set_query(spark: SparkSession, folder: str) -> DataFrame:
     product = retail_source(spark, folder)("Product")
     sparse = ["Color", "SizeUnitMeasureCode", "WeightUnitMeasureCode", "Class", "Style"]
     out = sparse_set(product.select("ProductID", *sparse), sparse)
@@ -667,13 +674,13 @@ def _customer_xml(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def xml_column_fields(spark: SparkSession, folder: str) -> DataFrame:
+def xml_fields_query(spark: SparkSession, folder: str) -> DataFrame:
     schema = "name string, nation int, balance double"
     return xml_fields(_customer_xml(spark, folder), "doc", schema)
 
 
 @query
-def xml_column_paths(spark: SparkSession, folder: str) -> DataFrame:
+def xml_values_query(spark: SparkSession, folder: str) -> DataFrame:
     paths = {"name": "/contact/name", "nation": "/contact/nation", "balance": "/contact/balance"}
     out = xml_values(_customer_xml(spark, folder), "doc", paths).drop("doc")
     return out.withColumn("balance", F.col("balance").cast("double"))

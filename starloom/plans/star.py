@@ -122,7 +122,7 @@ def run_warehouse(
     read_back = getattr(sink, "read", None)
     if read_back is None:
         star[FACT] = settle(star[FACT], FACT)
-    load_star(star, sink, mode)
+    load_star(star, sink, mode, getattr(sink, "keep_tables", False))
     if read_back is not None:
         star = {name: read_back(df.sparkSession, name) for name, df in star.items()}
     if report_sink is not None:

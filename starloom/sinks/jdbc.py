@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.plans.schemas import MAX_LENGTHS
 from starloom.sources.jdbc import read_jdbc
 
 
@@ -19,17 +20,22 @@ def write_jdbc(
     mode: str = "overwrite",
     connections: int = 8,
     batch_rows: int = 10_000,
-    keep_table: bool = True,
+    keep_table: bool = False,
+    column_types: str | None = None,
 ) -> None:
     """Write to a database table over at most ``connections`` connections.
 
-    Overwriting empties an existing table instead of recreating it, so its keys and indexes
-    stay; ``keep_table=False`` drops and recreates it."""
+    Overwriting drops the table and creates it, with ``column_types`` where given. With
+    ``keep_table`` it is emptied instead, and tables that refer to it are emptied too, so that
+    keys and indexes stay; see ``star.load_star``."""
     options = {
         "numPartitions": str(connections),
         "batchsize": str(batch_rows),
         "truncate": str(keep_table).lower(),
+        "cascadeTruncate": str(keep_table).lower(),
     }
+    if column_types and mode == "overwrite" and not keep_table:
+        options["createTableColumnTypes"] = column_types
     df.write.jdbc(url, table, mode=mode, properties={**properties, **options})
 
 
@@ -55,3 +61,37 @@ def append_new_rows(
     held = held.select(*[F.col(c).alias(k) for c, k in zip(held.columns, keys)])
     new = df.join(held, list(keys), "left_anti").select(*df.columns)
     write_jdbc(new, url, table, properties, "append", connections)
+
+
+class JdbcSink:
+    """Star tables to a database, under quoted names in ``schema``. Appending adds only rows
+    whose ``keys`` the table does not hold. Text columns get their declared lengths."""
+
+    def __init__(
+        self,
+        url: str,
+        properties: Mapping[str, str],
+        keys: Mapping[str, Sequence[str]],
+        schema: str = "public",
+        connections: int = 8,
+        keep_tables: bool = False,
+    ):
+        self.url, self.properties, self.keys = url, properties, keys
+        self.schema, self.connections, self.keep_tables = schema, connections, keep_tables
+
+    def __call__(self, name: str, df: DataFrame, mode: str) -> None:
+        table = f'{self.schema}."{name}"'
+        to = (self.url, table, self.properties)
+        if mode == "append" and name in self.keys:
+            append_new_rows(df, *to, self.keys[name], self.connections)
+            return
+        limits = MAX_LENGTHS.get(name, {})
+        types = ", ".join(f"{c} VARCHAR({limits[c]})" for c in df.columns if c in limits)
+        write_jdbc(
+            df,
+            *to,
+            mode,
+            self.connections,
+            keep_table=self.keep_tables,
+            column_types=types or None,
+        )

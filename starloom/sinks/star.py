@@ -21,8 +21,23 @@ def load_order(tables: Iterable[str], mode: str) -> list[str]:
     return referring + others if mode == "overwrite" else others + referring
 
 
-def load_star(tables: Mapping[str, DataFrame], sink: Sink, mode: str = "overwrite") -> None:
-    """Call ``sink(name, table, mode)`` for each table in load order."""
+def load_star(
+    tables: Mapping[str, DataFrame],
+    sink: Sink,
+    mode: str = "overwrite",
+    keep_tables: bool = False,
+) -> None:
+    """Call ``sink(name, table, mode)`` for each table in load order.
+
+    ``keep_tables`` is for a sink that empties existing tables with declared references: the
+    referring tables are emptied first, then the others are replaced, then they are filled."""
+    if mode == "overwrite" and keep_tables:
+        for name in load_order(tables, mode):
+            if name in FOREIGN_KEYS:
+                sink(name, tables[name].limit(0), "overwrite")
+        for name in load_order(tables, "append"):
+            sink(name, tables[name], "append" if name in FOREIGN_KEYS else "overwrite")
+        return
     for name in load_order(tables, mode):
         sink(name, tables[name], mode)
 

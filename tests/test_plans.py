@@ -44,7 +44,7 @@ def exchanges(plan: str) -> list[str]:
 
 
 def test_keeping_one_line_needs_no_shuffle_of_its_own(spark, no_broadcast):
-    found = exchanges(plan_of(rq.QUERIES["fact_wide_ship"](spark, FOLDER)))
+    found = exchanges(plan_of(rq.QUERIES["fact_wide"](spark, FOLDER)))
     assert not [e for e in found if "SalesOrderDetailID" in e]
     # lines move for product, address and order; orders for day, customer and order;
     # each of the four dimensions once
@@ -52,7 +52,7 @@ def test_keeping_one_line_needs_no_shuffle_of_its_own(spark, no_broadcast):
 
 
 def test_small_dimensions_leave_one_shuffle_per_side(spark):
-    found = exchanges(plan_of(rq.QUERIES["fact_wide_ship"](spark, FOLDER)))
+    found = exchanges(plan_of(rq.QUERIES["fact_wide"](spark, FOLDER)))
     assert [re.sub(r"#\d+L?", "", e) for e in found] == ["SalesOrderID"] * len(found)
     assert len(found) <= 2
 
@@ -74,7 +74,7 @@ def test_dedupe_limits_groups_inside_each_task(spark):
 
 
 def test_scans_read_only_what_is_used(spark):
-    plan = plan_of(rq.QUERIES["fact_narrow_bill"](spark, FOLDER))
+    plan = plan_of(rq.QUERIES["fact_narrow"](spark, FOLDER))
     lines = next(l for l in plan.splitlines() if "lineitem.parquet" in l)
     assert "IsNotNull(l_orderkey)" in lines and "IsNotNull(l_partkey)" in lines
     assert "l_tax" not in lines and "l_shipdate" not in lines
@@ -90,5 +90,5 @@ def test_revenue_is_summed_before_the_join(spark):
 
 
 def test_a_table_without_hot_keys_is_joined_plainly(spark):
-    plan = plan_of(rq.QUERIES["fact_narrow_bill"](spark, FOLDER))
+    plan = plan_of(rq.QUERIES["fact_narrow"](spark, FOLDER))
     assert "_part#" not in plan

@@ -13,6 +13,7 @@ from starloom.operators.marts import largest_first
 from starloom.operators.shape import inspect
 from starloom.plans.star import build_star, reports, run_warehouse
 from starloom.sinks import (
+    JdbcSink,
     ParquetSink,
     append_new_rows,
     load_order,
@@ -223,7 +224,34 @@ def test_jdbc_write_options(spark):
         write_jdbc(spark.range(3), "url", "T", {"user": "u"}, connections=2)
         assert jdbc.call_args.kwargs["mode"] == "overwrite"
         options = jdbc.call_args.kwargs["properties"]
-        assert options["truncate"] == "true" and options["numPartitions"] == "2"
+        assert options["truncate"] == "false" and options["numPartitions"] == "2"
+
+
+def test_database_sink(spark):
+    df = spark.createDataFrame([(1, "x")], "DateKey int, MonthName string")
+    with mock.patch.object(DataFrameWriter, "jdbc") as jdbc:
+        JdbcSink("url", {}, {})("DimDate", df, "overwrite")
+        assert jdbc.call_args.args == ("url", 'public."DimDate"')
+        options = jdbc.call_args.kwargs["properties"]
+        assert options["createTableColumnTypes"] == "MonthName VARCHAR(10)"
+        JdbcSink("url", {}, {}, keep_tables=True)("DimDate", df, "overwrite")
+        options = jdbc.call_args.kwargs["properties"]
+        assert options["truncate"] == options["cascadeTruncate"] == "true"
+        assert "createTableColumnTypes" not in options
+    with mock.patch("starloom.sinks.jdbc.append_new_rows") as append:
+        JdbcSink("url", {}, {"DimDate": ["DateKey"]})("DimDate", df, "append")
+        append.assert_called_once_with(df, "url", 'public."DimDate"', {}, ["DateKey"], 8)
+
+
+def test_kept_tables_are_emptied_before_those_they_refer_to(spark):
+    calls = []
+    tables = {n: spark.range(3) for n in ("DimDate", "FactCustomSales")}
+    load_star(tables, lambda n, df, mode: calls.append((n, df.count(), mode)), keep_tables=True)
+    assert calls == [
+        ("FactCustomSales", 0, "overwrite"),
+        ("DimDate", 3, "overwrite"),
+        ("FactCustomSales", 3, "append"),
+    ]
 
 
 def test_append_leaves_out_held_keys(spark):
