@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -29,6 +30,21 @@ from starloom.staging import settle
 Source = Callable[[str], DataFrame]
 
 
+def staged(source: Source) -> Source:
+    """Reads each table once, into the shared folder, however often it is asked for. Use it
+    over a database, which else would be read again by every job."""
+    tables: dict[str, DataFrame] = {}
+    lock = Lock()
+
+    def read(name: str) -> DataFrame:
+        with lock:
+            if name not in tables:
+                tables[name] = settle(source(name), name)
+            return tables[name]
+
+    return read
+
+
 def build_dimensions(
     source: Source, model: str, ids: str = "int", fiscal_start_month: int = 1
 ) -> dict[str, DataFrame]:

@@ -6,12 +6,13 @@ from decimal import Decimal as Dec
 from unittest import mock
 
 import pytest
+import warehouse_job
 from pyspark.sql import DataFrame, DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from starloom.operators.marts import largest_first
 from starloom.operators.shape import inspect
-from starloom.plans.star import build_star, reports, run_warehouse
+from starloom.plans.star import build_star, reports, run_warehouse, staged
 from starloom.sinks import (
     JdbcSink,
     ParquetSink,
@@ -266,3 +267,37 @@ def test_append_leaves_out_held_keys(spark):
         append_new_rows(df, "url", "T", {}, ["k"])
     assert isinstance(written[0], DataFrame)
     assert sorted(tuple(r) for r in written[0].collect()) == [(3, "v"), (4, "v")]
+
+
+def test_job_previews_and_builds(spark, tmp_path, capsys):
+    warehouse_job.run(spark, warehouse_job.arguments(["preview", "--tables", FOLDER, "--rows", "1"]))
+    assert "CarrierTrackingNumber: string" in capsys.readouterr().out
+    out = str(tmp_path)
+    args = ["build", "--tables", FOLDER, "--out", out, "--model", "narrow"]
+    warehouse_job.run(spark, warehouse_job.arguments(args))
+    assert spark.read.parquet(f"{out}/narrow/FactCustomSales").count() == 6000
+    report = spark.read.csv(f"{out}/aggregations/revenue_by_year", header=True)
+    assert report.columns == ["Year", "TotalRevenue"] and report.count() == 7
+    with pytest.raises(SystemExit):
+        warehouse_job.arguments(["build", "--tables", FOLDER])
+
+
+def test_job_loads_a_database(spark, tmp_path, monkeypatch):
+    monkeypatch.setenv("TARGET_JDBC_URL", "url")
+    args = ["load", "--tables", FOLDER, "--out", str(tmp_path), "--model", "narrow"]
+    with mock.patch.object(DataFrameWriter, "jdbc") as jdbc:
+        warehouse_job.run(spark, warehouse_job.arguments(args))
+    tables = [call.args[1] for call in jdbc.call_args_list]
+    assert tables[0] == 'public."FactCustomSales"' and len(tables) == 5
+
+
+def test_staged_source_reads_each_table_once(spark):
+    asked = []
+
+    def source(name):
+        asked.append(name)
+        return spark.range(3)
+
+    once = staged(source)
+    assert once("A").count() == once("A").count() == once("B").count() == 3
+    assert asked == ["A", "B"]
