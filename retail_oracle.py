@@ -308,6 +308,16 @@ sql(
     'SELECT d AS "Day" FROM days UNION SELECT CAST(ts AS DATE) FROM events WHERE ts IS NOT NULL',
     "days",
 )
+sql(
+    "union_all_days",
+    """SELECT d AS "Day", count(*) AS "Rows" FROM (
+        SELECT CAST(OrderDate AS DATE) AS d FROM sales_order_header_src
+        UNION ALL SELECT DueDate FROM sales_order_header_src
+        UNION ALL SELECT ShipDate FROM sales_order_header_src
+        UNION ALL SELECT CAST(ModifiedDate AS DATE) FROM sales_order_detail_src
+    ) GROUP BY 1""",
+    "sales_order_header_src", "sales_order_detail_src",
+)
 sql(
     "surrogate_key_orders",
     """SELECT row_number() OVER (ORDER BY o_orderkey) AS OrderKey, o_orderkey AS SalesOrderID
@@ -677,13 +687,14 @@ def null_counts(table: str, columns: list[str]) -> str:
 
 
 sql("audit_not_null", null_counts("fact_n", FACT_COLUMNS), "fact_n")
+LENGTHS = [("FirstName", 50), ("LastName", 50), ("EmailAddress", 14), ("CustomerType", 15)]
 sql("audit_nulls_planted", null_counts(f"({PLANTED})", ["status", "priority", "day"]))
 sql(
     "audit_length",
     union(
         f"SELECT '{c}' AS ColumnName, count(*) FILTER (length({c}) > {n}) AS TooLong "
         "FROM customer_narrow"
-        for c, n in [("FirstName", 50), ("LastName", 50), ("EmailAddress", 14), ("CustomerType", 15)]
+        for c, n in LENGTHS
     ),
     "customer_narrow",
 )
@@ -715,6 +726,7 @@ sql(
     UNION ALL
     SELECT -c_custkey - 1, 'New ' || c_name, c_nationkey FROM customer WHERE c_custkey % 10 = 2""",
 )
+sql("append_new_rows", "SELECT * FROM customer_src", "customer_src")
 _SPARSE = ["Color", "SizeUnitMeasureCode", "WeightUnitMeasureCode", "Class", "Style"]
 sql(
     "sparse_set",

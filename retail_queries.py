@@ -24,7 +24,13 @@ from starloom.operators.audit import (
     audit_summary,
     audit_unique,
 )
-from starloom.operators.changes import apply_changes, sparse_set, xml_fields, xml_values
+from starloom.operators.changes import (
+    apply_changes,
+    new_rows,
+    sparse_set,
+    xml_fields,
+    xml_values,
+)
 from starloom.operators.keys import dense_key
 from starloom.operators.lookup import lookup
 from starloom.operators.marts import largest_first, revenue_by, revenue_rollup, top_k, total_of
@@ -222,16 +228,25 @@ def dim_date_narrow(spark: SparkSession, folder: str) -> DataFrame:
     return D.dim_date_narrow(retail_source(spark, folder)("SalesOrderHeader"))
 
 
+def _day_columns(spark: SparkSession, folder: str) -> list[tuple[DataFrame, list[str]]]:
+    s = retail_source(spark, folder)
+    return [
+        (s("SalesOrderHeader"), ["OrderDate", "DueDate", "ShipDate"]),
+        (s("SalesOrderDetail"), ["ModifiedDate"]),
+    ]
+
+
 @query
 def distinct_days(spark: SparkSession, folder: str) -> DataFrame:
-    s = retail_source(spark, folder)
-    return D.distinct_days(
-        [
-            (s("SalesOrderHeader"), ["OrderDate", "DueDate", "ShipDate"]),
-            (s("SalesOrderDetail"), ["ModifiedDate"]),
-            (retail_table(spark, folder, "events"), ["ts"]),
-        ]
-    )
+    events = (retail_table(spark, folder, "events"), ["ts"])
+    return D.distinct_days([*_day_columns(spark, folder), events])
+
+
+@query
+def union_all_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of four columns one under the other, repeats kept, then counted."""
+    days = D.all_days(_day_columns(spark, folder))
+    return days.groupBy("Day").agg(F.count(F.lit(1)).alias("Rows"))
 
 
 @query
@@ -345,8 +360,10 @@ def fact_wide_bill(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fact_wide_hot_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """The same rows as ``fact_wide``, built as if keys of 2,000 rows were too large for a task."""
-    return fact_plan(spark, folder, "wide", hot_rows=2_000)
+    """The same rows as ``fact_wide``, built as if keys with more rows than one in 1,500 orders
+    were too large for a task."""
+    orders = retail_table(spark, folder, "orders").count()
+    return fact_plan(spark, folder, "wide", hot_rows=max(2, orders // 1_500))
 
 
 @query
@@ -487,7 +504,8 @@ def _narrow_by(spark: SparkSession, folder: str, dim: str, key: str, *attrs: str
 
 @query
 def top_cities(spark: SparkSession, folder: str) -> DataFrame:
-    return top_k(_narrow_by(spark, folder, "DimGeography", "GeographyKey", "City"), "TotalSales", 20)
+    sums = _narrow_by(spark, folder, "DimGeography", "GeographyKey", "City")
+    return top_k(sums, "TotalSales", 20)
 
 
 @query
@@ -643,6 +661,17 @@ def apply_changes_query(spark: SparkSession, folder: str) -> DataFrame:
     return apply_changes(target, changes, ["c_custkey"])
 
 
+@query
+def append_new_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """All customers appended to a table that holds those of the first nations: none twice."""
+    customers = retail_source(spark, folder)("Customer")
+    path = new_path(spark, "appended")
+    write_parquet(customers.where("TerritoryID < 10"), path)
+    held = spark.read.parquet(path)
+    write_parquet(new_rows(customers, held, ["CustomerID"]), path, mode="append")
+    return spark.read.parquet(path)
+
+
 @query
 def sparse_set_query(spark: SparkSession, folder: str) -> DataFrame:
     product = retail_source(spark, folder)("Product")
@@ -695,7 +724,8 @@ def sink_roundtrip_parquet(spark: SparkSession, folder: str) -> DataFrame:
     fact = star_tables(spark, folder, "wide")[FACT].withColumn("Year", F.year("OrderDate"))
     path = new_path(spark, "fact_by_year")
     write_parquet(fact, path, partition_by=["Year"], sort_by=["DateKey", "CustomerKey"])
-    return spark.read.parquet(path).select("Year", "SalesOrderID", "SalesOrderDetailID", "LineTotal")
+    written = spark.read.parquet(path)
+    return written.select("Year", "SalesOrderID", "SalesOrderDetailID", "LineTotal")
 
 
 @query

@@ -31,6 +31,11 @@ def apply_changes(
     return both.where(stays).select(row.alias("_row")).select("_row.*")
 
 
+def new_rows(df: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key ``held`` does not have: what an append may add."""
+    return df.join(held.select(*keys), list(keys), "left_anti").select(*df.columns)
+
+
 def sparse_set(df: DataFrame, columns: Sequence[str], name: str = "ColumnSet") -> DataFrame:
     """Replace mostly empty columns by one map of those that have a value, as text."""
     pairs = chain.from_iterable((F.lit(c), F.col(c).cast("string")) for c in columns)

@@ -10,14 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000  # rows of one key that one task should not have to take alone
-SAMPLE = 0.0001  # finds a hot key by some 500 sampled rows
+SAMPLED_HITS = 500  # rows by which a sample shows a hot key
 MAX_HOT_KEYS = 2_000  # bounds what reaches the driver; further keys join the usual way
 MAX_WAYS = 1 << 16
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, fraction: float = SAMPLE
-) -> dict[str, dict]:
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> dict[str, dict]:
     """For each key column: the keys (null included) that hold about ``hot_rows`` rows or more,
     with that estimate.
 
@@ -26,6 +24,7 @@ def hot_keys(
     answer only steers how work is spread: ``spread_join`` gives the same rows for any."""
     if not keys or df.count() < hot_rows:
         return {key: {} for key in keys}
+    fraction = min(1.0, SAMPLED_HITS / hot_rows)
     found = {}
     for key in keys:
         rows = df.select(key)
@@ -34,7 +33,7 @@ def hot_keys(
         counts = (
             rows.groupBy(key)
             .count()
-            .where(F.col("count") >= max(1, hot_rows * fraction))
+            .where(F.col("count") >= hot_rows * fraction)
             .orderBy(F.desc("count"))
             .limit(MAX_HOT_KEYS)
         )

@@ -9,6 +9,7 @@ Narrow builders keep the natural key (first column after the surrogate) for the
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -189,18 +190,19 @@ def dim_geography_narrow(
     return _with_natural_key(named, "DimGeography", "AddressID", ids)
 
 
-def distinct_days(day_columns: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Distinct non-null days over date or timestamp columns of several tables.
-
-    All columns of one table are read in one scan; duplicates fold before the shuffle."""
+def all_days(day_columns: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """The days of date or timestamp columns of several tables, one under the other, repeats and
+    nulls kept. All columns of one table are read in one scan."""
     parts = [
         df.select(F.explode(F.array(*[F.to_date(c) for c in columns])).alias("Day"))
         for df, columns in day_columns
     ]
-    days = parts[0]
-    for part in parts[1:]:
-        days = days.unionByName(part)
-    return days.where(F.col("Day").isNotNull()).distinct()
+    return reduce(DataFrame.unionByName, parts)
+
+
+def distinct_days(day_columns: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Each non-null day of ``all_days`` once; repeats fold before the shuffle."""
+    return all_days(day_columns).where(F.col("Day").isNotNull()).distinct()
 
 
 def dim_date_wide(

@@ -115,11 +115,11 @@ def reports(star: Mapping[str, DataFrame], model: str) -> dict[str, DataFrame]:
     def by(dim: str, key: str, attr: str) -> DataFrame:
         return revenue_by(fact, star[dim], key, [attr], measure)
 
+    categories = by("DimProduct", "ProductKey", category)
+    cities = by("DimGeography", "GeographyKey", "City")
     return {
-        "revenue_by_category": largest_first(
-            by("DimProduct", "ProductKey", category), "TotalRevenue"
-        ),
-        "revenue_by_city": largest_first(by("DimGeography", "GeographyKey", "City"), "TotalRevenue"),
+        "revenue_by_category": largest_first(categories, "TotalRevenue"),
+        "revenue_by_city": largest_first(cities, "TotalRevenue"),
         "revenue_by_year": by("DimDate", "DateKey", year).orderBy(year),
     }
 

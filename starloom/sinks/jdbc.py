@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.changes import new_rows
 from starloom.plans.schemas import MAX_LENGTHS
 from starloom.sources.jdbc import read_jdbc
 
@@ -59,8 +60,7 @@ def append_new_rows(
         partitions=connections,
     )
     held = held.select(*[F.col(c).alias(k) for c, k in zip(held.columns, keys)])
-    new = df.join(held, list(keys), "left_anti").select(*df.columns)
-    write_jdbc(new, url, table, properties, "append", connections)
+    write_jdbc(new_rows(df, held, keys), url, table, properties, "append", connections)
 
 
 class JdbcSink:

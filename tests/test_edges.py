@@ -16,8 +16,14 @@ from starloom.plans import dims as D
 from starloom.plans.facts import fact_narrow, fact_wide
 from starloom.plans.schemas import table_schema
 
-CUSTOMER = "CustomerID int, PersonID int, StoreID int, TerritoryID int, AccountNumber string, ModifiedDate date"
-PERSON = "BusinessEntityID int, FirstName string, MiddleName string, LastName string, EmailPromotion int, ModifiedDate date"
+CUSTOMER = (
+    "CustomerID int, PersonID int, StoreID int, TerritoryID int, AccountNumber string, "
+    "ModifiedDate date"
+)
+PERSON = (
+    "BusinessEntityID int, FirstName string, MiddleName string, LastName string, "
+    "EmailPromotion int, ModifiedDate date"
+)
 PRODUCT = (
     "ProductID int, ProductSubcategoryID int, Name string, ProductNumber string, MakeFlag int, "
     "FinishedGoodsFlag int, Color string, SafetyStockLevel int, ReorderPoint int, "
@@ -38,6 +44,11 @@ DETAIL = (
 DAY = date(2012, 5, 1)
 
 
+def has_schema(df, model, table):
+    """Names, order and types, whatever the nullability."""
+    return df.schema.simpleString() == table_schema(model, table).simpleString()
+
+
 def collect(df, *order):
     return [tuple(r) for r in df.orderBy(*order).collect()]
 
@@ -79,7 +90,7 @@ def test_wide_customers(people):
         (3, 30, "Ann Lee", True, "333-1", date(2011, 1, 1)),
         (5, 50, "", None, "555", DAY),  # key 4 was taken by the customer dropped since
     ]
-    assert D.dim_customer_wide(*people).schema.simpleString() == table_schema("wide", "DimCustomer").simpleString()
+    assert has_schema(D.dim_customer_wide(*people), "wide", "DimCustomer")
 
 
 def test_uncleaned_customers_keep_all(people):
@@ -148,7 +159,7 @@ def test_products_with_missing_classes(goods):
     ]
     wide = D.dim_product_wide(*goods)
     assert collect(wide.select("ProductKey"), "ProductKey") == [(1,), (2,), (3,)]
-    assert wide.schema.simpleString() == table_schema("wide", "DimProduct").simpleString()
+    assert has_schema(wide, "wide", "DimProduct")
 
 
 @pytest.fixture(scope="module")
@@ -226,7 +237,7 @@ SHORT = ["SalesOrderID", "SalesOrderDetailID", "CustomerKey", "ProductKey", "Geo
 @pytest.mark.parametrize("hot_rows", [5_000_000, 1])
 def test_wide_fact(sales, wide_dims, hot_rows):
     fact = fact_wide(*sales, wide_dims, hot_rows=hot_rows)
-    assert fact.schema.simpleString() == table_schema("wide", "FactCustomSales").simpleString()
+    assert has_schema(fact, "wide", "FactCustomSales")
     # of two lines with one id the smaller total stays; the overflowing line is dropped
     shipped = date(2012, 5, 8)
     assert collect(fact.select(SHORT), "SalesOrderDetailID") == [
@@ -258,7 +269,7 @@ def test_narrow_fact_keeps_equal_ids_and_off_midnight_orders(
         "DimDate": D.dim_date_narrow(sales[0]),
     }
     fact = fact_narrow(*sales, dims, hot_rows=hot_rows)
-    assert fact.schema.simpleString() == table_schema("narrow", "FactCustomSales").simpleString()
+    assert has_schema(fact, "narrow", "FactCustomSales")
     assert collect(fact.select("DateKey", "ProductKey", "SalesAmount"), "SalesAmount") == [
         (20120502, 2, Dec("3.0000")),
         (20120501, 3, Dec("10.0000")),
@@ -376,10 +387,8 @@ def test_sparse_set_and_xml(spark):
     df = spark.createDataFrame(
         [(1, None, 2), (2, None, None)], "id int, FirstName string, Visits int"
     )
-    assert [r.ColumnSet for r in sparse_set(df, ["FirstName", "Visits"]).orderBy("id").collect()] == [
-        {"Visits": "2"},
-        {},
-    ]
+    sets = sparse_set(df, ["FirstName", "Visits"]).orderBy("id").collect()
+    assert [r.ColumnSet for r in sets] == [{"Visits": "2"}, {}]
     xml = spark.createDataFrame([("<c><name>N &amp; M</name></c>",)], "doc string")
     assert xml_fields(xml, "doc", "name string, phone string").first() == ("N & M", None)
 
