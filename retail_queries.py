@@ -36,6 +36,7 @@ from starloom.operators.lookup import lookup
 from starloom.operators.marts import largest_first, revenue_by, revenue_rollup, top_k, total_of
 from starloom.operators.privacy import classify, masked
 from starloom.operators.shape import conform, dedupe, first_match, inspect, require_not_null
+from starloom.operators.skew import hot_keys
 from starloom.operators.timeintel import growth, same_period_last_year
 from starloom.plans import dims as D
 from starloom.plans.facts import fact_narrow, fact_wide
@@ -266,27 +267,26 @@ def surrogate_key_text(spark: SparkSession, folder: str) -> DataFrame:
 # --- joins one by one ----------------------------------------------------------------------
 
 
+def _person_lookup(
+    spark: SparkSession, folder: str, columns: list[str], table: str, take: dict[str, str]
+) -> DataFrame:
+    """Attributes of each customer's person; many customers may have the same or none."""
+    s = retail_source(spark, folder)
+    customer = s("Customer").select("CustomerID", "PersonID", *columns)
+    hot = hot_keys(customer, ["PersonID"])["PersonID"]
+    return lookup(customer, s(table), {"PersonID": "BusinessEntityID"}, take, hot=hot)
+
+
 @query
 def lookup_customer_person(spark: SparkSession, folder: str) -> DataFrame:
-    s = retail_source(spark, folder)
-    return lookup(
-        s("Customer").select("CustomerID", "PersonID"),
-        s("Person"),
-        on={"PersonID": "BusinessEntityID"},
-        take={"LastName": "PersonLastName", "ModifiedDate": "PersonModifiedDate"},
-    )
+    take = {"LastName": "PersonLastName", "ModifiedDate": "PersonModifiedDate"}
+    return _person_lookup(spark, folder, [], "Person", take)
 
 
 @query
 def lookup_customer_all_phones(spark: SparkSession, folder: str) -> DataFrame:
     """The left join as such: a customer with two phones gives two rows."""
-    s = retail_source(spark, folder)
-    return lookup(
-        s("Customer").select("CustomerID", "PersonID"),
-        s("PersonPhone"),
-        on={"PersonID": "BusinessEntityID"},
-        take={"PhoneNumber": "PhoneNumber"},
-    )
+    return _person_lookup(spark, folder, [], "PersonPhone", {"PhoneNumber": "PhoneNumber"})
 
 
 @query
@@ -398,13 +398,8 @@ def customer_types(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def modified_date_coalesce(spark: SparkSession, folder: str) -> DataFrame:
-    s = retail_source(spark, folder)
-    joined = lookup(
-        s("Customer"),
-        s("Person"),
-        on={"PersonID": "BusinessEntityID"},
-        take={"ModifiedDate": "PersonModifiedDate"},
-    )
+    take = {"ModifiedDate": "PersonModifiedDate"}
+    joined = _person_lookup(spark, folder, ["ModifiedDate"], "Person", take)
     return joined.select(
         "CustomerID", F.coalesce("ModifiedDate", "PersonModifiedDate").alias("ModifiedDate")
     )

@@ -65,10 +65,10 @@ def spread_join(
     hot: dict | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join ``many`` to ``one`` (unique on ``key``) by name; ``hot`` holds the hot keys found.
+    """Join ``many`` to ``one`` (few rows per ``key``) by name; ``hot`` holds the hot keys found.
 
     Without hot keys this is a plain join. The rows of a hot key are cut into parts by a hash
-    of the row, and its single row in ``one`` is repeated once per part; all other rows stay as
+    of the row, and its partners in ``one`` are repeated once per part; all other rows stay as
     they are. Null keys are spread too, and need no partner."""
     if not hot:
         return many.join(one, key, how)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from starloom.operators.keys import dense_key
+from starloom.operators.lookup import lookup
 from starloom.operators.skew import hot_keys, spread_join
 
 KEYS = {
@@ -77,6 +78,15 @@ def test_spread_join_equals_join(spark, skewed, dim, how):
     assert got.exceptAll(want).isEmpty()
 
 
+def test_lookup_with_hot_keys_equals_lookup(spark, skewed, dim):
+    twice = dim.unionByName(dim.withColumn("w", F.col("w") - 1000))
+    on, take = {"k": "k"}, {"w": "weight"}
+    got = lookup(skewed, twice, on, take, hot={42: 10_020, None: 10_000})
+    want = lookup(skewed, twice, on, take)
+    assert got.columns == want.columns and got.count() == want.count()
+    assert got.exceptAll(want).isEmpty()
+
+
 def test_spread_join_cuts_the_hot_key(spark, skewed, dim):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
