@@ -7,7 +7,8 @@ import os
 
 import duckdb
 import pytest
-from __spark_entry__ import oracle_sql, queries
+from retail_oracle import SQL
+from retail_queries import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = [
@@ -50,10 +51,10 @@ def rows(columns, data):
     return Counter(tuple(norm(row[i]) for i in order) for row in data)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    result = queries()[name](spark, FOLDER)
-    expected = duck.sql(oracle_sql()[name])
+    result = QUERIES[name](spark, FOLDER)
+    expected = duck.sql(SQL[name])
     types = {f.name: kind(f.dataType.simpleString()) for f in result.schema.fields}
     expected_types = {c: kind(str(t)) for c, t in zip(expected.columns, expected.types)}
     assert types == expected_types
@@ -64,4 +65,4 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
