@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words kept with their ids in a worker; the table starts anew beyond it.
-CACHE_WORDS = 500_000
+#: Words that come in before a worker lets go of those it has not used since.
+CACHE_WORDS = 600_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 
 
@@ -28,7 +28,8 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
+        self.aside: dict[str, bytes] = {}
 
     def _each(self, words: list[str]) -> list[bytes]:
         """Ids of each word: all are encoded as one text and told apart by their offsets."""
@@ -42,15 +43,17 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        known = self.known
         for text in texts:
             words = text.replace("\n", " ").split(" ")
-            if new := [w for w in set(words) if w not in known]:
-                if len(known) + len(new) > CACHE_WORDS:
-                    known = self.known = {"": b""}
-                    new = list(set(words) - {""})
-                known.update(zip(new, self._each(new)))
-            yield b"".join(map(known.__getitem__, words))
+            if new := set(words).difference(self.known):
+                if back := [w for w in new if w in self.aside]:
+                    self.known.update((w, self.aside[w]) for w in back)
+                    new.difference_update(back)
+                if new:
+                    self.known.update(zip(new, self._each(list(new))))
+            yield b"".join(map(self.known.__getitem__, words))
+            if len(self.known) > CACHE_WORDS:
+                self.known, self.aside = {}, self.known
 
 
 _loaded: dict[str, WordIds] = {}
