@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import mixing, packing, tokens, urls
+from starloom.llm import mixing, packing, pii, quality, tokens, topk, urls, vecdedup
 
 
 def tokenizer_path(name: str) -> str:
@@ -28,6 +28,9 @@ URL_RULES = [
 ]
 TOKEN_LIMIT = 4096
 END_ID = 2
+QUALITY_LIMIT = 0.7
+#: The key of the registered queries; a real run takes its own from a secret store.
+PII_KEY = b"registered query"
 
 
 def op2_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,6 +46,24 @@ def op2_prefix_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_feistel_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, PII_KEY, count="n_replaced")
+
+
+def op4_cross_polytope_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vecdedup.near_vectors(read(spark, folder, "embeddings"), 0.98)
+
+
+def op5_nb_svm_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, read(spark, folder, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted"),
+    )
+
+
 def op6_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     pieces = packing.pack(docs, tokenizer_path("word_bpe_49k.json"), END_ID, TOKEN_LIMIT)
@@ -52,6 +73,10 @@ def op6_power_of_two_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_histogram_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op8_redirect_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(read(spark, folder, "pages"), urls.rules_table(spark, URL_RULES))
 
@@ -63,7 +88,8 @@ def op9_hash_threshold_mixing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_prefix_token_counts, op6_power_of_two_packing, op8_redirect_url_filter,
+        op1_feistel_pii, op2_prefix_token_counts, op4_cross_polytope_vectors, op5_nb_svm_quality,
+        op6_power_of_two_packing, op7_histogram_top_k, op8_redirect_url_filter,
         op9_hash_threshold_mixing,
     )
 }

@@ -13,8 +13,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType, _parse_datatype_string
 
-#: Words kept with their counts in a worker; the table starts anew beyond it.
-CACHE_WORDS = 400_000
+from starloom.llm.cache import Recent
+
+#: Words that come in before a worker lets go of those it has not used since.
+CACHE_WORDS = 600_000
 #: Characters of a unit's beginning whose counts are shared.
 HEAD = 6
 _MARK = "\u2581"
@@ -54,7 +56,7 @@ class PrefixCounts:
             by_end.setdefault(piece[-2:], set()).add(len(piece))
         self.by_end = {end: sorted(sizes, reverse=True) for end, sizes in by_end.items()}
         self.heads: dict[str, tuple[list, list]] = {}
-        self.cache: dict[str, bytes] = _Filled(self)
+        self.cache: dict[str, bytes] = Recent(CACHE_WORDS, self.steps)
 
     def edges(self, piece: str) -> tuple[bool, list, list]:
         """Whether merging gives the piece back, and how its last and its first part change:
@@ -140,6 +142,11 @@ class PrefixCounts:
                 self.heads[head] = last.copy(), count.copy()
         return count
 
+    def steps(self, unit: str) -> bytes:
+        """How the count changes from character to character; raises beyond 16 bits."""
+        count = self.word(unit)
+        return array("h", map(sub, count[1:], count)).tobytes()
+
     def table(self, text: str) -> np.ndarray:
         """Tokens of text[:i] for i from 0 to len(text)."""
         if not text:
@@ -148,28 +155,12 @@ class PrefixCounts:
         steps = b"".join(map(self.cache.__getitem__, self.units.findall(marked)))
         counts = np.cumsum(np.frombuffer(steps, np.int16), dtype=np.int32)
         counts[0] = 0
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+        self.cache.turn()
         if len(self.heads) > CACHE_WORDS:
             self.heads.clear()
         return counts
 
 
-class _Filled(dict):
-    """Steps of the count from character to character, per unit, filled on demand."""
-
-    def __init__(self, owner: PrefixCounts):
-        super().__init__()
-        self.owner = owner
-
-    def __missing__(self, unit: str) -> bytes:
-        count = self.owner.word(unit)
-        out = array("h", map(sub, count[1:], count)).tobytes()  # raises beyond 16 bits
-        if len(unit) <= 48:
-            self[unit] = out
-        return out
-
-
 _loaded: dict[str, PrefixCounts] = {}
 
 
