@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import mixing, packing, pii, quality, tokens, topk, urls, vecdedup
+from starloom.llm import (
+    minhash, mixing, packing, pii, quality, repeats, tokens, topk, urls, vecdedup,
+)
 
 
 def tokenizer_path(name: str) -> str:
@@ -51,6 +53,13 @@ def op1_feistel_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.pseudonymize(docs, PII_KEY, count="n_replaced")
 
 
+def op3_run_length_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    removed = repeats.remove_repeats(read(spark, folder, "documents").select("doc_id", "text"), 200)
+    return removed.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_cross_polytope_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return vecdedup.near_vectors(read(spark, folder, "embeddings"), 0.98)
 
@@ -85,11 +94,16 @@ def op9_hash_threshold_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents"), (5, 2, 1), 1.5, 2.0)
 
 
+def op10_densified_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_texts(read(spark, folder, "documents").select("doc_id", "text"), 85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_feistel_pii, op2_prefix_token_counts, op4_cross_polytope_vectors, op5_nb_svm_quality,
-        op6_power_of_two_packing, op7_histogram_top_k, op8_redirect_url_filter,
-        op9_hash_threshold_mixing,
+        op1_feistel_pii, op2_prefix_token_counts, op3_run_length_repeats,
+        op4_cross_polytope_vectors, op5_nb_svm_quality, op6_power_of_two_packing,
+        op7_histogram_top_k, op8_redirect_url_filter, op9_hash_threshold_mixing,
+        op10_densified_minhash,
     )
 }

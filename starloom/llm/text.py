@@ -133,7 +133,7 @@ def word_shingles(texts: pa.Array, n: int) -> list[np.ndarray]:
         if b - a >= n:
             out.append(np.unique(total[a : b - n + 1]))
         elif b > a:
-            value, factor = (b - a) % (1 << 64), 1
+            value, factor = int(b - a), 1
             for k in range(a, b):
                 factor = factor * 0xD1342543DE82EF95 % (1 << 64)
                 value = (value + int(code[k]) * factor) % (1 << 64)
