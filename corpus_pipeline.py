@@ -19,8 +19,10 @@ from starloom.staging import settle
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.7 or more; it learns from the labelled ones."""
     model = quality.train(docs, read(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, "_quality")
-    return scored.where(F.col("_quality") >= QUALITY_LIMIT).drop("_quality")
+    name = "_quality"
+    while name in docs.columns:
+        name += "_"
+    return quality.score(docs, model, name).where(F.col(name) >= QUALITY_LIMIT).drop(name)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
