@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,15 +11,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.cache import Recent
+
 #: Words that come in before a worker lets go of those it has not used since.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 
 
+#: A word of Latin letters and closing signs: two parts to the tokenizer, whatever stands around it.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+
+
+def _byte_letters() -> dict[int, int]:
+    """How byte-level vocabularies write bytes: printable Latin-1 stands for itself, the rest
+    follows from U+0100 on in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(printable)]
+    return {b: 256 + k for k, b in enumerate(other)}
+
+
 class WordIds:
     """Ids of texts under a tokenizer that drops white space between words.
 
-    Splitting at spaces and line feeds changes no id then, so words are encoded once and kept.
+    Splitting at spaces and line feeds changes no id then, so words are encoded once and kept. A
+    plain word is its letters, lower-cased, and its closing signs; letters go to the merges
+    directly. All other words go through the whole tokenizer.
     """
 
     def __init__(self, file: str):
@@ -28,8 +45,24 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merge, self.letters = self.tokenizer.model.tokenize, _byte_letters()
         self.known: dict[str, bytes] = {}
         self.aside: dict[str, bytes] = {}
+        self.parts = Recent(CACHE_WORDS, self._part)
+        # the short cut is taken only where it gives what the tokenizer gives
+        self.direct = all(
+            self.tokenizer.encode(w, add_special_tokens=False).ids == self._direct(*_PLAIN.fullmatch(w).groups())
+            for w in ("Hello,", "É", "straße!!", "aßÀ", "the", "àíÿ.", "Ñandú;")
+        )
+
+    def _merged(self, part: str) -> list[int]:
+        return [t.id for t in self.merge(part.encode().decode("latin-1").translate(self.letters))]
+
+    def _direct(self, word: str, signs: str) -> list[int]:
+        return self._merged(word.lower()) + (self._merged(signs) if signs else [])
+
+    def _part(self, part: str) -> bytes:
+        return np.array(self._merged(part), "<u4").tobytes()
 
     def _each(self, words: list[str]) -> list[bytes]:
         """Ids of each word: all are encoded as one text and told apart by their offsets."""
@@ -41,6 +74,20 @@ class WordIds:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
+    def _learn(self, words: list[str]) -> None:
+        odd, parts, known = [], self.parts, self.known
+        for word in words:
+            plain = _PLAIN.fullmatch(word) if self.direct else None
+            if plain is None:
+                odd.append(word)
+            elif signs := plain[2]:
+                known[word] = parts[plain[1].lower()] + parts[signs]
+            else:
+                known[word] = parts[word.lower()]
+        if odd:
+            known.update(zip(odd, self._each(odd)))
+        parts.turn()
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         for text in texts:
@@ -50,7 +97,7 @@ class WordIds:
                     self.known.update((w, self.aside[w]) for w in back)
                     new.difference_update(back)
                 if new:
-                    self.known.update(zip(new, self._each(list(new))))
+                    self._learn(list(new))
             yield b"".join(map(self.known.__getitem__, words))
             if len(self.known) > CACHE_WORDS:
                 self.known, self.aside = {}, self.known
