@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import text as tx
-from starloom.llm.vectors import groups
+from starloom.llm.vectors import groups, slices
 from starloom.staging import new_path
 
-#: Bytes of an anchor's gram; bytes of segments indexed together; segments of one core beyond
-#: which its strings are counted one by one over the cluster.
-GRAM, INDEX_BYTES, CORE_SEGMENTS = 24, 1 << 20, 4096
+#: Bytes of an anchor's gram, the core of its segments; bytes of segments indexed together; segments of
+#: one core beyond which its strings are counted one by one over the cluster.
+GRAM, INDEX_BYTES, CORE_SEGMENTS = 48, 1 << 19, 4096
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -58,72 +58,74 @@ class RunLengthIndex:
         return best
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Positions in the order of their suffixes; the end of the text comes before any byte."""
+#: Bytes that the first sort of suffixes looks at; each round doubles them.
+_FIRST = 7
+
+
+def suffix_array(text: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Positions in the order of their suffixes; the end of the text comes before any byte.
+
+    Also the rank of every position by its first 7, 14, 28 and so on bytes, equal where they are.
+    """
     n = len(text)
     padded = np.concatenate([text.astype(np.uint64) + np.uint64(1), np.zeros(8, np.uint64)])
     key = np.zeros(n, np.uint64)
-    for k in range(7):  # 9 bits a byte
+    for k in range(_FIRST):  # 9 bits a byte
         key = key << np.uint64(9) | padded[k : k + n]
     order = np.argsort(key, kind="stable")
     sorted_key = key[order]
     new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
-    rank = np.empty(n, np.int64)
-    starts = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank[order] = starts
-    depth = 7
+    rank = np.empty(n, np.int32)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
+    levels, depth = [rank], _FIRST
     while True:
         # only suffixes that are not alone in their class are sorted on
         tied = ~new
         tied[:-1] |= ~new[1:]
         at = np.flatnonzero(tied)
         if not len(at):
-            return order
+            return order, levels
         part = order[at]
         ahead = part + depth
         second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        both = rank[part] * (n + 1) + second
+        both = rank[part].astype(np.int64) * (n + 1) + second
         inner = np.argsort(both, kind="stable")
         order[at], both = part[inner], both[inner]
         fresh = np.concatenate([[True], both[1:] != both[:-1]])
         new[at] |= fresh
+        rank = rank.copy()
         rank[order[at]] = at[np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))]
+        levels.append(rank)
         depth *= 2
 
 
-def _common(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the longest common prefix of each pair of suffixes."""
-    n = len(text)
-    words = np.zeros(n, np.uint64)
-    padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    for k in range(8):
-        words |= padded[k : k + n].astype(np.uint64) << np.uint64(8 * k)
-    out = np.zeros(len(a), np.int64)
+def _common(text: np.ndarray, levels: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the longest common prefix of each pair of suffixes, from the ranks: the longest
+    steps first, each at most once, and the last few bytes one by one."""
+    n, start = len(text), a
+    for k in reversed(range(len(levels))):
+        inside = np.maximum(a, b) < n
+        equal = inside & (levels[k][np.minimum(a, n - 1)] == levels[k][np.minimum(b, n - 1)])
+        step = np.where(equal, _FIRST << k, 0)
+        a, b = a + step, b + step
     live = np.arange(len(a))
-    a, b = a.copy(), b.copy()
-    while len(live):
-        room = n - np.maximum(a, b)
-        inside = room > 0
-        differ = np.where(inside, words[np.minimum(a, n - 1)] ^ words[np.minimum(b, n - 1)], 1)
-        equal = np.zeros(len(live), np.int64)
-        for k in range(1, 9):
-            equal += (differ & np.uint64((1 << (8 * k)) - 1 if k < 8 else 0xFFFFFFFFFFFFFFFF)) == 0
-        equal = np.minimum(np.where(inside, equal, 0), np.maximum(room, 0))
-        out[live] += equal
-        on = equal == 8
-        live, a, b = live[on], a[on] + 8, b[on] + 8
-    return out
+    for _ in range(_FIRST - 1):
+        live = live[np.maximum(a[live], b[live]) < n]
+        live = live[text[a[live]] == text[b[live]]]
+        a[live] += 1
+        b[live] += 1
+    return np.minimum(a - start, n - np.maximum(start, b - (a - start)))
 
 
 def build_index(text: np.ndarray) -> RunLengthIndex:
     """Suffixes are sorted, then only runs and run ends are kept."""
-    order = suffix_array(text)
+    order, levels = suffix_array(text)
     bwt = np.where(order > 0, text[order - 1].astype(np.int16), -1)
     start = np.flatnonzero(np.concatenate([[True], bwt[1:] != bwt[:-1]]))
     end = np.concatenate([start[1:], [len(order)]]) - 1
     before, after = order[np.maximum(start - 1, 0)], order[np.minimum(end + 1, len(order) - 1)]
-    first_common = _common(text, order[start], before)
-    last_common = _common(text, order[end], after)
+    first_common = _common(text, levels, order[start], before)
+    last_common = _common(text, levels, order[end], after)
     first_common[0] = 0
     last_common[-1] = 0
     return RunLengthIndex(
@@ -150,7 +152,7 @@ def _windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
     """Segments of a run of texts: row, first and last start (within the row), and core hash.
 
     A string's anchor is its gram of least hash, the leftmost of equals. The strings of one anchor
-    are consecutive; they are split in two by where the anchor lies, and share more bytes then.
+    are consecutive and all have the anchor's bytes, their core.
     """
     n, grams = len(data), length - GRAM + 1
     empty = np.empty(0, np.int64)
@@ -159,7 +161,8 @@ def _windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
     prefix = tx.prefix_hashes(data)
     at = np.arange(n - GRAM + 1)
     bits = np.uint64(max(24, int(n).bit_length()))
-    least = tx.span_hashes(prefix, at, at + GRAM) >> bits << bits | at.astype(np.uint64)
+    hashes = tx.span_hashes(prefix, at, at + GRAM)
+    least = hashes >> bits << bits | at.astype(np.uint64)
     width = 1
     while width * 2 <= grams:
         least = np.minimum(least[:-width], least[width:])
@@ -169,20 +172,14 @@ def _windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
     start = np.arange(n - length + 1)
     row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     valid = row_of[: n - length + 1] == row_of[length - 1 :]
-    half = grams // 2
-    late = anchor - start > half
     new = np.ones(len(start), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (late[1:] != late[:-1]) | ~valid[:-1]
+    new[1:] = (anchor[1:] != anchor[:-1]) | ~valid[:-1]
     new &= valid
     first = np.flatnonzero(new)
     if not len(first):
         return empty, empty, empty, empty.astype(np.uint64)
     stop = np.flatnonzero(valid & np.concatenate([new[1:] | ~valid[1:], [True]]))
-    where, side = anchor[first], late[first]
-    # the bytes that all strings of the anchor's side have
-    low = np.where(side, where - half - 1, where)
-    high = np.where(side, where - (grams - 1) + length, where - half + length)
-    core = tx.mix(tx.span_hashes(prefix, low, high) + side.astype(np.uint64))
+    core = hashes[anchor[first]]
     row = row_of[first]
     return row, first - offsets[row], stop - offsets[row], core
 
@@ -244,7 +241,7 @@ def find_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["core", "digest", "one", "two", "first", "segment"]
         types = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        for batch in batches:
+        for batch in slices(batches):
             columns: list[list] = [[] for _ in names]
             held = 0
             for one, two, text, found in zip(*(c.to_pylist() for c in batch.columns)):
@@ -358,7 +355,7 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def strike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list] = [[], [], [], []]
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 raw = (text or "").encode()

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are worked on in runs of about this many bytes, so memory does not follow the batch.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _RNG = np.random.default_rng(20240229)
 _BYTE_CODE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)

@@ -54,3 +54,10 @@ def groups(
             held.append(batch.slice(a, b - a))
     if held:
         yield held_key, pa.Table.from_batches(held)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``, to hold fewer Python values at a time."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
