@@ -40,13 +40,13 @@ cte(
 )
 cte(
     "person_src",
-    """SELECT c_custkey AS BusinessEntityID,
+    """SELECT CASE WHEN c_custkey % 7 <> 0 THEN c_custkey ELSE -c_custkey END AS BusinessEntityID,
     split_part(c_name, '#', 1) AS FirstName,
     CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS MiddleName,
     split_part(c_name, '#', 2) AS LastName,
     CAST(c_custkey % 3 AS INTEGER) AS EmailPromotion,
     DATE '1996-01-01' + CAST(c_custkey % 500 AS INTEGER) AS ModifiedDate
-    FROM customer WHERE c_custkey % 7 <> 0""",
+    FROM customer""",
 )
 cte(
     "person_phone_src",
@@ -97,8 +97,8 @@ cte(
 )
 cte(
     "product_category_src",
-    """SELECT r_regionkey AS ProductCategoryID, 'Cat ' || r_name AS Name
-    FROM region WHERE r_regionkey < 3""",
+    """SELECT CASE WHEN r_regionkey < 3 THEN r_regionkey ELSE r_regionkey + 100 END
+    AS ProductCategoryID, 'Cat ' || r_name AS Name FROM region""",
 )
 cte(
     "address_src",
@@ -159,6 +159,13 @@ sql(
 )
 sql("scan_tab_separated", "SELECT * FROM customer_src", "customer_src")
 sql("scan_multi_line_records", "SELECT doc_id, n_chars, text FROM documents")
+SQL["scan_records_with_tabs"] = (
+    "SELECT doc_id, n_chars, text || chr(9) || 'after a tab' || chr(10) || 'and a line' || chr(9) "
+    "|| 'to its end' AS text FROM documents"
+)
+SQL["scan_reject_counts"] = """SELECT CASE WHEN l_orderkey % 7 = 0 THEN '4 fields'
+    WHEN l_orderkey % 5 = 0 THEN 'l_linenumber is not int' ELSE 'read' END AS Outcome,
+    count(*) AS "Rows" FROM lineitem GROUP BY 1"""
 
 # --- dimensions ----------------------------------------------------------------------------
 
@@ -393,7 +400,9 @@ def wide_fact(role: str = "d.ShipToAddressID", kind: str = "JOIN") -> str:
     CAST(h.OnlineOrderFlag AS BOOLEAN) AS OnlineOrderFlag, h.SalesOrderNumber,
     d.CarrierTrackingNumber, h.ModifiedDate,
     row_number() OVER (PARTITION BY d.SalesOrderID, d.SalesOrderDetailID
-        ORDER BY d.OrderQty NULLS LAST, d.UnitPrice NULLS LAST, d.UnitPriceDiscount NULLS LAST,
+        ORDER BY (d.OrderQty IS NULL OR TRY_CAST(d.UnitPrice AS DECIMAL(10,4)) IS NULL
+            OR TRY_CAST(d.LineTotal AS DECIMAL(10,4)) IS NULL),
+        d.OrderQty NULLS LAST, d.UnitPrice NULLS LAST, d.UnitPriceDiscount NULLS LAST,
         d.LineTotal NULLS LAST, d.CarrierTrackingNumber NULLS LAST, p.ProductKey NULLS LAST,
         g.GeographyKey NULLS LAST) AS place
     FROM sales_order_header_src h
@@ -403,7 +412,8 @@ def wide_fact(role: str = "d.ShipToAddressID", kind: str = "JOIN") -> str:
     {kind} geography_wide g ON {role} = g.AddressID
     JOIN date_wide t ON {DATE_KEY.format(d="h.OrderDate")} = t.DateKey
     ) WHERE place = 1 AND OrderQty IS NOT NULL AND UnitPrice IS NOT NULL AND LineTotal IS NOT NULL
-    {place} AND GeographyKey IS NOT NULL"""
+    {place} AND GeographyKey IS NOT NULL
+    """
 
 
 WIDE_NEEDS = (
@@ -774,3 +784,78 @@ sql(
     ),
     "fact_n",
 )
+
+# --- whole runs ----------------------------------------------------------------------------
+
+
+def marts(fact: str, amount: str, parts: list[tuple[str, str, str, str]]) -> str:
+    return union(
+        f"""SELECT '{name}' AS Report, CAST({value} AS VARCHAR) AS "Value",
+        {SUM.format(m=amount)} AS TotalRevenue FROM {fact} JOIN {table} USING ({key}) GROUP BY 2"""
+        for name, value, table, key in parts
+    )
+
+
+sql(
+    "warehouse_run_wide",
+    marts("fact_w", "LineTotal", [
+        ("revenue_by_category", "ProductCategoryName", "product_all", "ProductKey"),
+        ("revenue_by_city", "City", "geography_wide", "GeographyKey"),
+        ("revenue_by_year", "CalendarYear", "date_wide", "DateKey"),
+    ]),
+    "fact_w",
+)
+sql(
+    "warehouse_run_narrow",
+    marts("fact_n", "SalesAmount", [
+        ("revenue_by_category", "ProductCategoryName", "product_all", "ProductKey"),
+        ("revenue_by_city", "City", "geography_all", "GeographyKey"),
+        ("revenue_by_year", "Year", "date_narrow", "DateKey"),
+    ]),
+    "fact_n",
+)
+SQL["load_twice_same_rows_narrow"] = SQL["loaded_star_rows"]
+cte(
+    "product_wide",
+    "SELECT * FROM product_all WHERE ProductID IS NOT NULL AND Name IS NOT NULL AND "
+    "ProductNumber IS NOT NULL AND StandardCost IS NOT NULL AND ListPrice IS NOT NULL AND "
+    "ModifiedDate IS NOT NULL",
+    "product_all",
+)
+sql(
+    "load_twice_same_rows_wide",
+    union(
+        f"SELECT '{name}' AS TableName, count(*) AS \"Rows\" FROM {table}"
+        for name, table in [
+            ("DimCustomer", "customer_wide"), ("DimProduct", "product_wide"),
+            ("DimGeography", "geography_wide"), ("DimDate", "date_wide"),
+            ("FactCustomSales", "fact_w"),
+        ]
+    ),
+    "fact_w", "product_wide",
+)
+sql(
+    "append_later_customers_wide",
+    f"""SELECT AccountNumber, {TOTAL_W} AS TotalRevenue
+    FROM fact_w JOIN customer_wide USING (CustomerKey) GROUP BY 1""",
+    "fact_w",
+)
+sql(
+    "append_later_customers_narrow",
+    f"""SELECT LastName, {TOTAL_N} AS TotalRevenue
+    FROM fact_n JOIN customer_narrow USING (CustomerKey) GROUP BY 1""",
+    "fact_n",
+)
+sql(
+    "fact_wide_rejects",
+    """SELECT 'LineTotal beyond decimal(10,4)' AS Rule, count(*) AS "Lines"
+    FROM sales_order_detail_src WHERE abs(LineTotal) * 100 >= 1000000 GROUP BY 1""",
+    "sales_order_detail_src",
+)
+cte("fact_left", wide_fact(kind="LEFT JOIN"), *WIDE_NEEDS)
+sql(
+    "revenue_by_city_left",
+    f"""SELECT City, {TOTAL_W} AS TotalRevenue
+    FROM fact_left LEFT JOIN geography_wide USING (GeographyKey) GROUP BY 1""",
+    "fact_left",
+)

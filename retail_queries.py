@@ -48,9 +48,10 @@ from starloom.plans.schemas import (
     PRIMARY_KEYS,
     table_schema,
 )
-from starloom.plans.star import build_dimensions, reports
+from starloom.plans.rejects import reject_counts
+from starloom.plans.star import build_dimensions, reports, run_warehouse
 from starloom.sinks import ParquetSink, load_star, save_tables, write_csv, write_parquet
-from starloom.sources.dumps import read_records, read_tsv
+from starloom.sources.dumps import read_records, read_tsv, tsv_records
 from starloom.sources.retail import SOURCES, retail_source, retail_table
 from starloom.staging import new_path, settle
 
@@ -155,7 +156,37 @@ def scan_multi_line_records(spark: SparkSession, folder: str) -> DataFrame:
     documents.select(
         F.concat_ws("\t", F.col("doc_id").cast("string"), F.col("n_chars").cast("string"), "text")
     ).write.text(path)
-    return read_records(spark, path, r"^\d+\t\d+\t", documents.schema)
+    return read_records(spark, path, r"^\d+\t\d+\t", documents.schema, free_tail=True)
+
+
+@query
+def scan_records_with_tabs(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with a tab and a line break planted in each text: the last field keeps them."""
+    documents = retail_table(spark, folder, "documents").select("doc_id", "n_chars", "text")
+    path = new_path(spark, "tabbed_dump")
+    planted = F.concat("text", F.lit("\tafter a tab\nand a line\tto its end"))
+    documents.select(
+        F.concat_ws("\t", F.col("doc_id").cast("string"), F.col("n_chars").cast("string"), planted)
+    ).write.text(path)
+    return read_records(spark, path, r"^\d+\t\d+\t", documents.schema, free_tail=True)
+
+
+@query
+def scan_reject_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as a dump in which some have a field too many and some a text for a number:
+    rows read and rejects, counted by reason."""
+    key = F.col("l_orderkey")
+    fields = [
+        key.cast("string"),
+        F.when(key % 5 == 0, F.lit("many")).otherwise(F.col("l_linenumber").cast("string")),
+        F.when(key % 7 == 0, F.lit("N\tand more")).otherwise(F.col("l_returnflag")),
+    ]
+    path = new_path(spark, "faulty_dump")
+    retail_table(spark, folder, "lineitem").select(F.concat_ws("\t", *fields)).write.text(path)
+    schema = T.StructType.fromDDL("l_orderkey bigint, l_linenumber int, l_returnflag string")
+    rows, rejects = tsv_records(spark, path, schema)
+    outcome = rows.select(F.lit("read").alias("Outcome")).union(rejects.select("reason"))
+    return outcome.groupBy("Outcome").agg(F.count("*").alias("Rows"))
 
 
 # --- dimensions ----------------------------------------------------------------------------
@@ -749,3 +780,76 @@ def loaded_star_rows(spark: SparkSession, folder: str) -> DataFrame:
     load_star(star, sink)
     loaded = {name: sink.read(spark, name) for name in star}
     return audit_summary(loaded).withColumnsRenamed({"Rule": "TableName", "Findings": "Rows"})
+
+
+# --- whole runs ----------------------------------------------------------------------------
+
+
+def _marts(star: dict[str, DataFrame], model: str) -> DataFrame:
+    """The three published reports under one another."""
+    parts = [
+        df.select(
+            F.lit(name).alias("Report"),
+            F.col(df.columns[0]).cast("string").alias("Value"),
+            "TotalRevenue",
+        )
+        for name, df in reports(star, model).items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _run(model: str, spark: SparkSession, folder: str) -> DataFrame:
+    """Source tables to a written star to its reports, the fact in folders by year and month."""
+    sink = ParquetSink(new_path(spark, f"run_{model}"), partition_by=["Year", "Month"])
+    return _marts(run_warehouse(retail_source(spark, folder), sink, model, ids=IDS), model)
+
+
+def _twice(model: str, spark: SparkSession, folder: str) -> DataFrame:
+    """The same source loaded twice by appending: rows of each table."""
+    sink, source = ParquetSink(new_path(spark, f"twice_{model}")), retail_source(spark, folder)
+    run_warehouse(source, sink, model, mode="append", ids=IDS)
+    star = run_warehouse(source, sink, model, mode="append", ids=IDS)
+    return audit_summary(star).withColumnsRenamed({"Rule": "TableName", "Findings": "Rows"})
+
+
+def _later(model: str, spark: SparkSession, folder: str) -> DataFrame:
+    """Customers of odd ids are loaded first, all of them later: what each customer bought, by
+    account, over the key that the fact and the dimension share."""
+    source = retail_source(spark, folder)
+
+    def half(name: str) -> DataFrame:
+        df = source(name)
+        return df.where("CustomerID % 2 = 1") if name == "Customer" else df
+
+    sink = ParquetSink(new_path(spark, f"later_{model}"))
+    run_warehouse(half, sink, model, mode="append", ids=IDS)
+    star = run_warehouse(source, sink, model, mode="append", ids=IDS)
+    name, amount = ("AccountNumber", "LineTotal") if model == "wide" else ("LastName", "SalesAmount")
+    return revenue_by(star[FACT], star["DimCustomer"], "CustomerKey", [name], amount)
+
+
+for _model in ("wide", "narrow"):
+    QUERIES[f"warehouse_run_{_model}"] = partial(_run, _model)
+    QUERIES[f"load_twice_same_rows_{_model}"] = partial(_twice, _model)
+    QUERIES[f"append_later_customers_{_model}"] = partial(_later, _model)
+
+
+@query
+def fact_wide_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the wide fact with amounts a hundred times as large: what does not fit, by rule."""
+    detail = retail_source(spark, folder)("SalesOrderDetail")
+    large = detail.withColumn("LineTotal", F.col("LineTotal").cast("decimal(18,4)") * 100)
+    return reject_counts(large, "wide", IDS)
+
+
+def _left_mart(spark: SparkSession, folder: str) -> DataFrame:
+    """Revenue by city over the fact that keeps lines without a known address."""
+    fact = fact_plan(spark, folder, "wide", geo_join="left")
+    place = star_tables(spark, folder, "wide")["DimGeography"]
+    by_key = fact.groupBy("GeographyKey").agg(F.sum("LineTotal").alias("part"))
+    joined = by_key.join(place.select("GeographyKey", "City"), "GeographyKey", "left")
+    total = F.sum("part").cast("decimal(29,4)").alias("TotalRevenue")
+    return joined.groupBy("City").agg(total)
+
+
+QUERIES["revenue_by_city_left"] = _left_mart

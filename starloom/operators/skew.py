@@ -8,36 +8,44 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-HOT_ROWS = 5_000_000  # rows of one key that one task should not have to take alone
+HOT_ROWS = 1_000_000  # a key of fewer rows is never worth spreading
 SAMPLED_HITS = 500  # rows by which a sample shows a hot key
-MAX_HOT_KEYS = 2_000  # bounds what reaches the driver; further keys join the usual way
-MAX_WAYS = 1 << 16
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> dict[str, dict]:
-    """For each key column: the keys (null included) that hold about ``hot_rows`` rows or more,
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None = None
+) -> dict[str, dict]:
+    """For each key column: the keys (null included) that hold far more rows than a shuffle
+    partition on average and at least HOT_ROWS, or else about ``hot_rows`` if that is given,
     with that estimate.
 
-    Call it on a source table, where counting is cheap. A table below ``hot_rows`` has none,
-    which its row count alone shows. Otherwise one pass per key column counts a sample. The
-    answer only steers how work is spread: ``spread_join`` gives the same rows for any."""
-    if not keys or df.count() < hot_rows:
-        return {key: {} for key in keys}
-    fraction = min(1.0, SAMPLED_HITS / hot_rows)
-    found = {}
-    for key in keys:
-        rows = df.select(key)
-        if fraction < 1:
-            rows = rows.sample(fraction, seed=17)
-        counts = (
-            rows.groupBy(key)
-            .count()
-            .where(F.col("count") >= hot_rows * fraction)
-            .orderBy(F.desc("count"))
-            .limit(MAX_HOT_KEYS)
-        )
-        found[key] = {row[0]: math.ceil(row[1] / fraction) for row in counts.collect()}
+    Call it on a source table. One pass samples all key columns; as hot is measured by the
+    table's own partitions, no column has more hot keys than there are partitions. The answer
+    only steers how work is spread: ``spread_join`` gives the same rows for any."""
+    if not keys:
+        return {}
+    least = hot_rows
+    if least is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        least = max(HOT_ROWS, 2 * df.count() // partitions)
+    fraction = min(1.0, SAMPLED_HITS / least)
+    rows = df.select(*keys)
+    if fraction < 1:
+        rows = rows.sample(fraction, seed=17)
+    entries = [F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value")) for k in keys]
+    counts = (
+        rows.select(F.explode(F.array(*entries)).alias("at"))
+        .groupBy("at.key", "at.value")
+        .count()
+        .where(F.col("count") >= least * fraction)
+    )
+    found: dict[str, dict] = {key: {} for key in keys}
+    for key, value, n in counts.collect():
+        whole = isinstance(df.schema[key].dataType, T.IntegralType)
+        known = int(value) if whole and value is not None else value
+        found[key][known] = math.ceil(n / fraction)
     return found
 
 
@@ -45,8 +53,7 @@ def _ways(key: Column, hot: dict, hot_rows: int) -> Column:
     """Into how many parts a key's rows are cut: 1 unless hot, else a power of two."""
     by_ways = defaultdict(list)
     for value, rows in hot.items():
-        ways = 1 << max(1, math.ceil(math.log2(max(rows / hot_rows, 2))))
-        by_ways[min(ways, MAX_WAYS)].append(value)
+        by_ways[1 << max(1, math.ceil(math.log2(max(rows / hot_rows, 2))))].append(value)
     out = F.lit(1)
     for ways, values in by_ways.items():
         known = [v for v in values if v is not None]
@@ -63,16 +70,18 @@ def spread_join(
     key: str,
     how: str = "inner",
     hot: dict | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join ``many`` to ``one`` (few rows per ``key``) by name; ``hot`` holds the hot keys found.
 
     Without hot keys this is a plain join. The rows of a hot key are cut into parts by a hash
     of the row, and its partners in ``one`` are repeated once per part; all other rows stay as
     they are. Null keys are spread too, and need no partner."""
+    if how == "inner":  # rows without a key go anyway
+        hot = {k: n for k, n in (hot or {}).items() if k is not None}
     if not hot:
         return many.join(one, key, how)
-    ways = _ways(F.col(key), hot, hot_rows)
+    ways = _ways(F.col(key), hot, hot_rows or HOT_ROWS)
     part = F.pmod(F.xxhash64(*many.columns), ways.cast("bigint")).cast("int")
     parts = F.sequence(F.lit(0), ways - 1)
     left = many.withColumn("_part", part)

@@ -3,7 +3,9 @@
 Keys are assigned on the source table before any lookup: lookups are one-to-one, so the
 numbers are the same, and counting ranges reads one column instead of running the joins.
 Narrow builders keep the natural key (first column after the surrogate) for the fact build;
-``schemas`` leaves it out, so conforming drops it.
+``schemas`` leaves it out, so conforming drops it. ``held`` are the keys an earlier load
+gave, see ``keys.stable_key``. Calling a builder runs jobs: keys are counted and small lookups
+are written.
 """
 
 from __future__ import annotations
@@ -16,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions import calendar_columns, customer_type, date_key, fiscal_columns, full_name
-from starloom.operators.keys import ROWS_PER_RANGE, dense_key
+from starloom.operators.keys import ROWS_PER_RANGE, stable_key
 from starloom.operators.lookup import lookup
 from starloom.operators.shape import conform, first_match, require_not_null
-from starloom.operators.skew import HOT_ROWS, hot_keys, spread_join
+from starloom.operators.skew import hot_keys, spread_join
 from starloom.plans.schemas import REQUIRED, table_schema
 from starloom.staging import settle
 
@@ -42,7 +44,8 @@ def dim_customer_wide(
     ids: str = "int",
     clean: bool = True,
     rows_per_range: int = ROWS_PER_RANGE,
-    hot_rows: int = HOT_ROWS,
+    held: DataFrame | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Customers with name and first phone number.
 
@@ -60,7 +63,7 @@ def dim_customer_wide(
     contacts = people.join(one_phone, "BusinessEntityID", "full_outer").withColumnRenamed(
         "BusinessEntityID", "PersonID"
     )
-    numbered = dense_key(customer, "CustomerID", "CustomerKey", ids, rows_per_range=rows_per_range)
+    numbered = stable_key(customer, "CustomerID", "CustomerKey", held, ids, rows_per_range)
     hot = hot_keys(customer, ["PersonID"], hot_rows)["PersonID"]
     joined = spread_join(numbered, contacts, "PersonID", "left", hot, hot_rows).withColumns(
         {
@@ -78,7 +81,8 @@ def dim_customer_narrow(
     email: DataFrame,
     ids: str = "int",
     rows_per_range: int = ROWS_PER_RANGE,
-    hot_rows: int = HOT_ROWS,
+    held: DataFrame | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Customers with names, first e-mail address and whether they are stores."""
     one_email = first_match(
@@ -89,7 +93,7 @@ def dim_customer_narrow(
         .join(one_email, "BusinessEntityID", "left")
         .withColumnRenamed("BusinessEntityID", "PersonID")
     )
-    numbered = dense_key(customer, "CustomerID", "CustomerKey", ids, rows_per_range=rows_per_range)
+    numbered = stable_key(customer, "CustomerID", "CustomerKey", held, ids, rows_per_range)
     hot = hot_keys(customer, ["PersonID"], hot_rows)["PersonID"]
     joined = spread_join(numbered, contacts, "PersonID", "left", hot, hot_rows).withColumn(
         "CustomerType", customer_type("StoreID")
@@ -111,6 +115,7 @@ def _with_categories(product: DataFrame, subcategory: DataFrame, category: DataF
         settle(classes, "product_classes"),
         on={"ProductSubcategoryID": "ProductSubcategoryID"},
         take={"CategoryName": "ProductCategoryName", "Name": "ProductSubcategoryName"},
+        hot=hot_keys(product, ["ProductSubcategoryID"])["ProductSubcategoryID"],
     )
 
 
@@ -121,8 +126,9 @@ def dim_product_wide(
     ids: str = "int",
     clean: bool = True,
     rows_per_range: int = ROWS_PER_RANGE,
+    held: DataFrame | None = None,
 ) -> DataFrame:
-    numbered = dense_key(product, "ProductID", "ProductKey", ids, rows_per_range=rows_per_range)
+    numbered = stable_key(product, "ProductID", "ProductKey", held, ids, rows_per_range)
     return _finish(_with_categories(numbered, subcategory, category), "DimProduct", ids, clean)
 
 
@@ -132,8 +138,9 @@ def dim_product_narrow(
     category: DataFrame,
     ids: str = "int",
     rows_per_range: int = ROWS_PER_RANGE,
+    held: DataFrame | None = None,
 ) -> DataFrame:
-    numbered = dense_key(product, "ProductID", "ProductKey", ids, rows_per_range=rows_per_range)
+    numbered = stable_key(product, "ProductID", "ProductKey", held, ids, rows_per_range)
     named = _with_categories(numbered, subcategory, category).withColumnsRenamed(
         {
             "Name": "ProductName",
@@ -161,6 +168,7 @@ def _with_places(address: DataFrame, state: DataFrame, country: DataFrame) -> Da
             "CountryRegionCode": "CountryRegionCode",
             "CountryRegionName": "CountryRegionName",
         },
+        hot=hot_keys(address, ["StateProvinceID"])["StateProvinceID"],
     )
 
 
@@ -171,8 +179,9 @@ def dim_geography_wide(
     ids: str = "int",
     clean: bool = True,
     rows_per_range: int = ROWS_PER_RANGE,
+    held: DataFrame | None = None,
 ) -> DataFrame:
-    numbered = dense_key(address, "AddressID", "GeographyKey", ids, rows_per_range=rows_per_range)
+    numbered = stable_key(address, "AddressID", "GeographyKey", held, ids, rows_per_range)
     return _finish(_with_places(numbered, state, country), "DimGeography", ids, clean)
 
 
@@ -182,8 +191,9 @@ def dim_geography_narrow(
     country: DataFrame,
     ids: str = "int",
     rows_per_range: int = ROWS_PER_RANGE,
+    held: DataFrame | None = None,
 ) -> DataFrame:
-    numbered = dense_key(address, "AddressID", "GeographyKey", ids, rows_per_range=rows_per_range)
+    numbered = stable_key(address, "AddressID", "GeographyKey", held, ids, rows_per_range)
     named = _with_places(numbered, state, country).withColumnsRenamed(
         {"StateProvinceName": "StateProvince", "CountryRegionName": "CountryRegion"}
     )

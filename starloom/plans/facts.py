@@ -8,18 +8,22 @@ dimensions are too large to broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions import date_key
 from starloom.operators.shape import conform, dedupe, require_not_null
-from starloom.operators.skew import HOT_ROWS, hot_keys, spread_join
+from starloom.operators.skew import hot_keys, spread_join
 from starloom.plans.schemas import FACT, REQUIRED, table_schema
 
 # The order columns that hold each kind of address.
 ADDRESS_COLUMNS = {"ship": "ShipToAddressID", "bill": "BillToAddressID"}
+LINE_KEYS = ["SalesOrderID", "SalesOrderDetailID"]
 
 
 def _surrogate(
@@ -29,7 +33,7 @@ def _surrogate(
     key: str,
     on: str,
     hot: Mapping[str, dict],
-    hot_rows: int,
+    hot_rows: int | None,
     how: str = "inner",
 ) -> DataFrame:
     """Replace the source id ``on`` by the dimension's surrogate key."""
@@ -45,7 +49,7 @@ def _with_keys(
     dims: Mapping[str, DataFrame],
     address: str,
     geo_join: str,
-    hot_rows: int,
+    hot_rows: int | None,
 ) -> tuple[DataFrame, DataFrame, dict]:
     """Orders with CustomerKey, lines with ProductKey, GeographyKey on whichever of them holds
     the address, and the orders that are too large for one task. Hot ids are looked for in the
@@ -77,7 +81,7 @@ def fact_wide(
     geo_join: str = "inner",
     clean: bool = True,
     ids: str = "int",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per order line with keys, measures and order attributes.
 
@@ -87,7 +91,7 @@ def fact_wide(
     drops those rows."""
     schema = table_schema("wide", FACT, ids)
     address = ADDRESS_COLUMNS[geo_role]
-    line_keys = ["SalesOrderID", "SalesOrderDetailID"]
+    line_keys = LINE_KEYS
     measures = ["OrderQty", "UnitPrice", "UnitPriceDiscount", "LineTotal"]
 
     orders = header.select(
@@ -112,14 +116,22 @@ def fact_wide(
     )
 
     # Lines with equal ids meet in the partition that the join on the order id has made, so
-    # keeping one of them costs no shuffle. Where one order is too large for a task, they are
-    # thinned out by order and line id first, and the join is spread.
-    order = [c for c in lines.columns if c not in line_keys]
+    # keeping one of them costs no shuffle. Orders too large for a task are a branch of their own:
+    # their lines are thinned out by order and line id first, and the join is spread.
+    # Of equal ids a line whose required values all fit comes before one that would be dropped.
+    needed = [c for c in measures if c in REQUIRED[FACT]]
+    lacking = reduce(or_, [F.col(c).isNull() for c in needed])
+    lines = lines.withColumn("_lacks", lacking)
+    order = ["_lacks", *[c for c in lines.columns if c not in [*line_keys, "_lacks"]]]
+    hot = {k: n for k, n in hot.items() if k is not None}
+    large = F.col("SalesOrderID").isin(list(hot)) if hot else F.lit(False)
+    usual = lines.where(~large) if hot else lines
+    sales = dedupe(usual.join(orders, "SalesOrderID"), line_keys, order)
     if hot:
-        thinned = dedupe(lines, line_keys, order)
-        sales = spread_join(thinned, orders, "SalesOrderID", "inner", hot, hot_rows)
-    else:
-        sales = dedupe(lines.join(orders, "SalesOrderID"), line_keys, order)
+        thinned = dedupe(lines.where(large), line_keys, order)
+        few = orders.where(large)
+        spread = spread_join(thinned, few, "SalesOrderID", "inner", hot, hot_rows)
+        sales = sales.unionByName(spread)
 
     out = conform(sales, schema)
     if not clean:
@@ -135,10 +147,15 @@ def fact_narrow(
     geo_role: str = "bill",
     geo_join: str = "inner",
     ids: str = "int",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """One row per order line: four keys, quantity, amount and price. ``dims`` are the narrow
-    dimensions with their natural keys. Lines are not de-duplicated in this model."""
+    dimensions with their natural keys. Lines are not de-duplicated in this model.
+
+    ``extra`` names columns of ``detail`` to add, such as its ids, which the published columns
+    leave out. Measures
+    that do not fit their type are null; ``rejects.rejected_lines`` counts them."""
     schema = table_schema("narrow", FACT, ids)
     address = ADDRESS_COLUMNS[geo_role]
 
@@ -154,6 +171,7 @@ def fact_narrow(
     orders = orders.join(dims["DimDate"].select("FullDate", "DateKey"), "FullDate").drop("FullDate")
     lines = detail.select(
         "SalesOrderID",
+        *[c for c in extra if c != "SalesOrderID"],
         "ProductID",
         *[c for c in [address] if c in detail.columns and c not in header.columns],
         measure("OrderQty", "OrderQuantity"),
@@ -164,4 +182,6 @@ def fact_narrow(
         header, detail, orders, lines, dims, address, geo_join, hot_rows
     )
     sales = spread_join(lines, orders, "SalesOrderID", "inner", hot, hot_rows)
+    more = [T.StructField(c, detail.schema[c].dataType) for c in extra]
+    schema = T.StructType([*schema.fields, *more])
     return conform(sales, schema)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starloom.operators.changes import new_rows
 from starloom.plans.schemas import FOREIGN_KEYS, LOOKUP_COLUMNS
 from starloom.sinks.files import write_parquet
+from starloom.sinks.keymap import KeyMap
 
 Sink = Callable[[str, DataFrame, str], None]
 
@@ -44,19 +47,39 @@ def load_star(
 
 class ParquetSink:
     """One folder per table under ``root``, sorted by the columns readers look up. What it
-    wrote can be read back, so that reports need no other copy."""
+    wrote can be read back, so that reports need no other copy.
 
-    def __init__(self, root: str, sort: bool = True):
+    ``partition_by`` names columns made of the fact's DateKey, ``Year`` or ``Year`` and
+    ``Month``: each value is a folder, so that a filter on them opens only its files. Rows go to
+    tasks by these columns and a hash of the row, ``files`` to a folder at most."""
+
+    def __init__(
+        self, root: str, sort: bool = True, partition_by: Sequence[str] = (), files: int = 4
+    ):
         self.root, self.sort = root, sort
+        self.partition_by, self.files = list(partition_by), files
+        self.keys = KeyMap(f"{root}/_keys")
 
     def __call__(self, name: str, df: DataFrame, mode: str) -> None:
         columns = LOOKUP_COLUMNS.get(name, []) if self.sort else []
         sort_by = [c for c in columns if c in df.columns]
-        write_parquet(df, f"{self.root}/{name}", mode, sort_by=sort_by)
+        folders: list[str] = []
+        if name in FOREIGN_KEYS and self.partition_by:
+            parts = {"Year": F.col("DateKey") / 10000, "Month": F.col("DateKey") / 100 % 100}
+            folders = self.partition_by
+            df = df.withColumns({c: F.floor(parts[c]).cast("int") for c in folders})
+            spread = F.pmod(F.xxhash64(*df.columns), F.lit(self.files))
+            df = df.repartition(*[F.col(c) for c in folders], spread)
+        write_parquet(df, f"{self.root}/{name}", mode, folders, sort_by)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(f"{self.root}/{name}")
 
+    def new_rows(self, name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Rows of ``df`` whose key the written table does not hold."""
+        written = KeyMap(self.root).read(df.sparkSession, name)
+        return df if written is None else new_rows(df, written, keys)
+
 
 def save_tables(tables: Mapping[str, DataFrame], root: str, database: str) -> None:
     """Drop and recreate the tables of a catalog database, fact first, their files under

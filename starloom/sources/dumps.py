@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+RECORD_LINES = 1_000_000  # a record of more lines is not gathered
+
 # The columns of each dump, in file order, as the files hold them.
 DUMPS = {
     "AWBuildVersion": (
@@ -116,41 +118,68 @@ PADDED = {
 MULTI_LINE = {"ProductReview": r"^\d+\t\d+\t"}
 
 
-def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Text columns to their types. Fractions of a second beyond micros are cut; 0/1 become
-    booleans; text that is not of its type becomes null."""
+def parse_records(
+    texts: DataFrame, schema: T.StructType, free_tail: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``texts(text)``, one record each, as typed rows and as rejects (text, reason).
+
+    A record must have as many fields as ``schema``; with ``free_tail`` the last one is free text
+    and keeps its tabs. An empty field is null. A field that is not of its type, or a wrong number
+    of fields, sends the record to the rejects, nothing is cut. Fractions of a second
+    beyond micros are cut; 0 and 1 become booleans. Padded with blanks, numbers and dates are read."""
+    n = len(schema.fields)
+    fields = F.split("text", "\t", n if free_tail else -1)
+
+    def value(i: int) -> Column:
+        return F.when(fields[i] != "", fields[i])
 
-    def column(field: T.StructField):
-        text = F.col(field.name)
+    def typed(i: int, field: T.StructField) -> Column:
+        text = value(i)
         if isinstance(field.dataType, T.BooleanType):
             text = text.try_cast("int")
-        return text.try_cast(field.dataType).alias(field.name)
+        return text.try_cast(field.dataType)
 
-    return df.select(*[column(f) for f in schema.fields])
+    reason = F.when(F.size(fields) != n, F.concat(F.size(fields).cast("string"), F.lit(" fields")))
+    for i, field in enumerate(schema.fields):
+        unfit = value(i).isNotNull() & typed(i, field).isNull()
+        reason = reason.when(unfit, F.lit(f"{field.name} is not {field.dataType.simpleString()}"))
+    marked = texts.withColumn("reason", reason)
+    rows = marked.where("reason IS NULL").select(
+        *[typed(i, field).alias(field.name) for i, field in enumerate(schema.fields)]
+    )
+    return rows, marked.where("reason IS NOT NULL").select("text", "reason")
 
 
-def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One record per line. Splittable: a large file is read by many tasks."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (
-        spark.read.schema(text)
-        .option("sep", "\t")
-        .option("quote", "")
-        .option("escape", "")
-        .option("lineSep", "\n")
-        .csv(path)
-    )
-    return _typed(raw, schema)
+def read_tsv(spark: SparkSession, path: str, schema: T.StructType, free_tail: bool = False):
+    """One record per line, see ``parse_records``; a large file is read by many tasks."""
+    return tsv_records(spark, path, schema, free_tail)[0]
+
+
+def tsv_records(
+    spark: SparkSession, path: str, schema: T.StructType, free_tail: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows and rejects of a file of lines."""
+    lines = spark.read.option("lineSep", "\n").text(path).withColumnRenamed("value", "text")
+    return parse_records(lines, schema, free_tail)
 
 
 def read_records(
-    spark: SparkSession, path: str, start: str, schema: T.StructType
+    spark: SparkSession, path: str, start: str, schema: T.StructType, free_tail: bool = False
 ) -> DataFrame:
-    """Records that span lines: one starts at each line that matches ``start``.
+    """Typed rows of ``span_records``."""
+    return span_records(spark, path, start, schema, free_tail)[0]
+
+
+def span_records(
+    spark: SparkSession, path: str, start: str, schema: T.StructType, free_tail: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows and rejects of records that span lines: one starts at each line that matches
+    ``start``.
 
     Large files stay split. Each split counts its record starts; the starts in earlier splits
     of the file are added, so the lines at the head of a split join the record they belong to.
-    Lines before the first start of a file are not part of any record."""
+    Lines before the first start of a file are not part of any record: they are rejects, line by
+    line. So are the lines of a record of more than RECORD_LINES lines, which no task gathers."""
     lines = (
         spark.read.option("lineSep", "\n")
         .text(path)
@@ -180,16 +209,21 @@ def read_records(
     )
     record = F.col("_number") + F.col("_before")
     parts = F.array_sort(F.collect_list(F.struct("_split", "_line", "value")))
-    texts = (
-        numbered.where(record > 0)
-        .groupBy("_file", record.alias("_record"))
-        .agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("_text"))
+    numbered = numbered.withColumn("_record", record)
+    sizes = numbered.groupBy("_file", "_record").agg(F.count("*").alias("_n"))
+    large = sizes.where(F.col("_n") > RECORD_LINES).select("_file", "_record")
+    whole = numbered.where(record > 0).join(large, ["_file", "_record"], "left_anti")
+    texts = whole.groupBy("_file", "_record").agg(
+        F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("text")
+    )
+    rows, rejects = parse_records(texts.select("text"), schema, free_tail)
+    loose = numbered.where(record == 0).select(
+        F.col("value").alias("text"), F.lit("before the first record").alias("reason")
+    )
+    endless = numbered.where(record > 0).join(large, ["_file", "_record"], "left_semi").select(
+        F.col("value").alias("text"), F.lit("in a record of too many lines").alias("reason")
     )
-    fields = F.split("_text", "\t")
-    columns = [
-        F.nullif(fields[i], F.lit("")).alias(f.name) for i, f in enumerate(schema.fields)
-    ]
-    return _typed(texts.select(*columns), schema)
+    return rows, rejects.unionByName(loose).unionByName(endless)
 
 
 def read_dump(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -44,8 +44,8 @@ def _customer(read) -> DataFrame:
 
 def _person(read) -> DataFrame:
     key, name = F.col("c_custkey"), F.split("c_name", "#")
-    return read("customer").where(key % 7 != 0).select(
-        key.alias("BusinessEntityID"),
+    return read("customer").select(
+        F.when(key % 7 != 0, key).otherwise(-key).alias("BusinessEntityID"),
         name[0].alias("FirstName"),
         F.when(key % 3 != 0, F.col("c_mktsegment")).alias("MiddleName"),
         name[1].alias("LastName"),
@@ -115,10 +115,10 @@ def _subcategory(read) -> DataFrame:
 
 
 def _category(read) -> DataFrame:
-    """Categories 0 to 2: the subcategories of key 3 have none."""
+    """Categories 0 to 2, the others moved: the subcategories of key 3 have none."""
     key = F.col("r_regionkey")
-    return read("region").where(key < 3).select(
-        key.alias("ProductCategoryID"), F.concat(F.lit("Cat "), F.col("r_name")).alias("Name")
+    return read("region").select(
+        F.when(key < 3, key).otherwise(key + 100).alias("ProductCategoryID"), F.concat(F.lit("Cat "), F.col("r_name")).alias("Name")
     )
 
 

@@ -30,7 +30,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/starloom/{uuid.uuid4().hex}/{name}"
+    return f"{_own_dir(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/starloom/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this application has staged. Call it when no table read from there is used
+    any more, at the end of a run."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

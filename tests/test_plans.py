@@ -4,7 +4,6 @@ import re
 
 import pytest
 import retail_queries as rq
-from __spark_entry__ import queries
 from starloom.operators.shape import dedupe
 from starloom.plans.facts import fact_wide
 from starloom.sources.retail import retail_source
@@ -20,9 +19,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(rq.QUERIES))
 def test_no_cross_join_and_no_python(spark, name):
-    plan = plan_of(queries()[name](spark, FOLDER))
+    plan = plan_of(rq.QUERIES[name](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert operator not in plan
     if "SinglePartition" in plan:

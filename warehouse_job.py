@@ -17,9 +17,12 @@ from pyspark.sql import SparkSession
 from starloom.operators.shape import inspect
 from starloom.plans.schemas import FACT, PRIMARY_KEYS
 from starloom.plans.star import Source, run_warehouse, staged
-from starloom.sinks import JdbcSink, ParquetSink, write_csv
+from starloom.settings import cluster_conf
+from starloom.sinks import JdbcSink, ParquetSink, write_csv, write_parquet
+from starloom.sinks.keymap import KeyMap
 from starloom.sources.jdbc import SOURCE_TABLES, connection, jdbc_source
 from starloom.sources.retail import retail_source
+from starloom.staging import clear
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -32,6 +35,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--ids", choices=["int", "bigint"], default="int")
     parser.add_argument("--rows", type=int, default=5, help="rows to preview")
     parser.add_argument("--connections", type=int, default=8)
+    parser.add_argument("--cores", type=int, default=64, help="executor cores in all")
+    parser.add_argument("--input-gb", type=float, default=0, help="size of the source tables")
+    parser.add_argument("--partition-by", nargs="*", choices=["Year", "Month"], default=[])
     parser.add_argument("--keep-tables", action="store_true", help="empty instead of drop")
     args = parser.parse_args(argv)
     if args.job != "preview" and not args.out:
@@ -51,12 +57,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             inspect(source(name), args.rows)
         return
     if args.job == "build":
-        sink = ParquetSink(f"{args.out}/{args.model}")
+        sink = ParquetSink(f"{args.out}/{args.model}", partition_by=args.partition_by)
     else:
         keys = PRIMARY_KEYS
         if args.model == "wide":
             keys = {**keys, FACT: ["SalesOrderID", "SalesOrderDetailID"]}
-        else:  # lines of the narrow fact have no key of their own: they are all appended
+        else:  # lines of the narrow fact have no key of their own: the key map tells new ones
             keys = {name: key for name, key in keys.items() if name != FACT}
         url, properties = connection("TARGET")
         sink = JdbcSink(
@@ -69,10 +75,23 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         lambda name, df: write_csv(df, f"{args.out}/aggregations/{name}"),
         args.mode,
         args.ids,
+        KeyMap(f"{args.out}/{args.model}/_keys"),
+        lambda name, df: write_parquet(df, f"{args.out}/rejects/{name}"),
     )
 
 
+def main() -> None:
+    args = arguments()
+    builder = SparkSession.builder.appName("warehouse")
+    for name, value in cluster_conf(args.cores, int(args.input_gb * 1e9)).items():
+        builder = builder.config(name, value)
+    session = builder.getOrCreate()
+    try:
+        run(session, args)
+    finally:
+        clear(session)
+        session.stop()
+
+
 if __name__ == "__main__":
-    session = SparkSession.builder.appName("warehouse").getOrCreate()
-    run(session, arguments())
-    session.stop()
+    main()
