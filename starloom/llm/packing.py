@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from starloom.llm.cache import Recent
 
 #: Words that come in before a worker lets go of those it has not used since.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 120_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 
 
