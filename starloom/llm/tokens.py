@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from starloom.llm.cache import Recent
 
 #: Words that come in before a worker lets go of those it has not used since.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 #: Characters of a unit's beginning whose counts are shared.
 HEAD = 6
 _MARK = "\u2581"
@@ -74,7 +74,7 @@ class PrefixCounts:
                 at = ranks.index(best)
                 parts[at : at + 2] = [parts[at] + parts[at + 1]]
             known = len(parts) == 1, [*right, (inf, parts[-1])], [*left, (inf, parts[0])]
-            if len(self.history) > 500_000:
+            if len(self.history) > 100_000:
                 self.history.clear()
             self.history[piece] = known
         return known
@@ -104,7 +104,7 @@ class PrefixCounts:
                 i += 1
             else:
                 j += 1
-        if len(self.apart) > 2_000_000:
+        if len(self.apart) > 300_000:
             self.apart.clear()
         self.apart[left, right] = known
         return known
