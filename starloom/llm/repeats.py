@@ -230,7 +230,9 @@ def find_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     places = _settle(
         texts.mapInArrow(cut, "core bigint, one bigint, two int, first int, last int"), "places"
     )
+    # written first: a join of two plain shuffles can have its large partitions split
     shared = places.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    shared = _settle(shared, "shared_cores")
     # a text's own segments, at most one for each of its bytes
     wanted = (
         places.join(shared, "core")
