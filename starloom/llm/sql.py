@@ -93,3 +93,62 @@ SELECT s.doc_id, s.size, p.source_size, p.target,
 FROM sized s JOIN passes p ON s.source IS NOT DISTINCT FROM p.source
 LEFT JOIN extra e ON e.source IS NOT DISTINCT FROM s.source AND e.hash = s.hash
 """
+
+SQL["op7_histogram_top_k"] = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+    WHERE a.vec_id % 50 = 0)
+SELECT query_id,
+    (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+    vec_id, score
+FROM scores QUALIFY rank <= 5
+"""
+
+SQL["op4_cross_polytope_vectors"] = """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(a, b) AS (
+    SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least_reached AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links,
+    least(e.vec_id, coalesce(r.low, e.vec_id)) AS component_id,
+    e.vec_id = least(e.vec_id, coalesce(r.low, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN counts c ON c.a = e.vec_id LEFT JOIN least_reached r ON r.a = e.vec_id
+"""
+
+SQL["op10_densified_minhash"] = r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] ELSE list_transform(
+        range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+both_have AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM both_have p JOIN sizes x ON x.doc_id = p.a JOIN sizes y ON y.doc_id = p.b
+    WHERE 100 * p.n >= 85 * (x.n + y.n - p.n)),
+reach(a, b) AS (
+    SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_reached AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
+    least(d.doc_id, coalesce(r.low, d.doc_id)) AS component_id,
+    d.doc_id = least(d.doc_id, coalesce(r.low, d.doc_id)) AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least_reached r ON r.a = d.doc_id
+"""
