@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,7 +60,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 IDS = "bigint"  # source ids and keys of these tables can pass 2^31 rows
 QUERIES: dict[str, Query] = {}
-_built: dict[tuple, dict[str, DataFrame]] = {}
+_built: dict[tuple, tuple[tuple, dict[str, DataFrame]]] = {}
+_lock = RLock()
 
 
 def query(fn: Query) -> Query:
@@ -68,11 +70,23 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def _files(spark: SparkSession, folder: str) -> tuple:
+    """Name, time and size of what lies in the folder and one level below."""
+    context = spark.sparkContext
+    top = context._jvm.org.apache.hadoop.fs.Path(folder)
+    system = top.getFileSystem(context._jsc.hadoopConfiguration())
+    found = list(system.listStatus(top))
+    found += [f for d in found if d.isDirectory() for f in system.listStatus(d.getPath())]
+    return tuple((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in found)
+
+
 def _once(spark: SparkSession, folder: str, part: str, build) -> dict[str, DataFrame]:
-    key = (spark.sparkContext.applicationId, folder, part)
-    if key not in _built:
-        _built[key] = build()
-    return _built[key]
+    """Built anew when the source's files have changed."""
+    key, state = (spark.sparkContext.applicationId, folder, part), _files(spark, folder)
+    with _lock:
+        if key not in _built or _built[key][0] != state:
+            _built[key] = (state, build())
+        return _built[key][1]
 
 
 def dimension_tables(spark: SparkSession, folder: str, model: str) -> dict[str, DataFrame]:

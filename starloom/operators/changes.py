@@ -12,11 +12,23 @@ from pyspark.sql import functions as F
 
 
 def apply_changes(
-    target: DataFrame, changes: DataFrame, keys: Sequence[str], op: str = "op"
+    target: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    op: str = "op",
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """The target after one change per key: ``I`` adds a row where the key is new, ``U`` replaces
     the row and ``D`` removes it where the key exists. A change that does not apply has no
-    effect. Both sides must be unique on ``keys``; each is shuffled once."""
+    effect. Of several changes of one key the last by the ``order`` columns counts; without
+    ``order`` they raise. The target must be unique on ``keys``; each side is shuffled once."""
+    row = F.struct(*changes.columns)
+    if order:
+        one = F.max_by(row, F.struct(*order))
+    else:
+        several = F.raise_error(F.lit("several changes of one key, and no order given"))
+        one = F.when(F.count("*") == 1, F.first(row)).otherwise(several)
+    changes = changes.groupBy(*keys).agg(one.alias("_change")).select("_change.*")
     old = target.select(F.lit(True).alias("_old"), F.struct(*target.columns).alias("_was"), *keys)
     new = changes.select(
         F.col(op).alias("_op"), F.struct(*target.columns).alias("_will"), *keys

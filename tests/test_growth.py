@@ -137,3 +137,17 @@ def test_hot_is_measured_by_partitions(spark, monkeypatch):
         F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).cast("int").alias("k"), "id"
     )
     assert {k: set(v) for k, v in hot_keys(df, ["k", "id"]).items()} == {"k": {1}, "id": set()}
+
+
+def test_several_changes_of_a_key(spark):
+    from starloom.operators.changes import apply_changes
+
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    changes = spark.createDataFrame(
+        [(1, "x", "U", 1), (1, "y", "U", 2), (3, "z", "I", 1), (2, None, "D", 5)],
+        "k int, v string, op string, at int",
+    )
+    got = apply_changes(target, changes, ["k"], order=["at"]).collect()
+    assert sorted(map(tuple, got)) == [(1, "y"), (3, "z")]
+    with pytest.raises(Exception, match="several changes"):
+        apply_changes(target, changes, ["k"]).collect()
