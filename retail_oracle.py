@@ -859,3 +859,12 @@ sql(
     FROM fact_left LEFT JOIN geography_wide USING (GeographyKey) GROUP BY 1""",
     "fact_left",
 )
+
+SQL["conform_temporal"] = """SELECT o_orderkey,
+    CAST(o_orderdate AS DATE) + INTERVAL 10 HOUR + to_minutes(o_orderkey % 60)
+        + INTERVAL 21587654 MICROSECONDS
+        - CASE WHEN o_orderkey % 2 = 0 THEN INTERVAL 120 MINUTE ELSE INTERVAL (-330) MINUTE END
+        AS OrderedAt,
+    CAST(25200.25 + 60 * (o_orderkey % 60) AS DOUBLE) AS ShiftSeconds,
+    CASE WHEN o_orderkey % 3 = 0 THEN true WHEN o_orderkey % 3 = 1 THEN false END AS Flag,
+    CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DECIMAL(19,4)) AS Total FROM orders"""

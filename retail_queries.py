@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.functions import calendar_columns, customer_type, date_key, fiscal_columns, full_name
+from starloom.functions.texts import bit_of, money_of, seconds_of_day, timestamp_of
 from starloom.operators.audit import (
     audit_cast,
     audit_foreign_key,
@@ -867,3 +868,26 @@ def _left_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["revenue_by_city_left"] = _left_mart
+
+
+@query
+def conform_temporal(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose day, time, flag and total are text, as operational tables hand them out."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    minute = F.lpad((F.col("o_orderkey") % 60).cast("string"), 2, "0")
+    offset = F.when(F.col("o_orderkey") % 2 == 0, F.lit(" +02:00")).otherwise(F.lit(" -05:30"))
+    texts = retail_table(spark, folder, "orders").select(
+        "o_orderkey",
+        F.concat(day, F.lit(" 10:"), minute, F.lit(":21.5876543"), offset).alias("at"),
+        F.concat(F.lit("07:"), minute, F.lit(":00.2500000")).alias("shift"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.lit("1")).when(F.col("o_orderkey") % 3 == 1, F.lit("0"))
+        .otherwise(F.lit("?")).alias("bit"),
+        F.concat(F.lit("$"), F.format_number(F.col("o_totalprice").cast("decimal(15,2)"), 2)).alias("total"),
+    )
+    return texts.select(
+        "o_orderkey",
+        timestamp_of(F.col("at")).alias("OrderedAt"),
+        seconds_of_day(F.col("shift")).cast("double").alias("ShiftSeconds"),
+        bit_of(F.col("bit")).alias("Flag"),
+        money_of(F.col("total")).alias("Total"),
+    )
