@@ -19,7 +19,7 @@ from starloom.staging import settle
 #: Words of a shingle, rows of a band, and the share of links that all bands may miss.
 WORDS, ROWS, MISSED = 5, 8, 1e-5
 #: What one task compares at once: documents and bytes of a block of a cluster.
-BLOCK_DOCS, BLOCK_BYTES = 2_000, 8 << 20
+BLOCK_DOCS, BLOCK_BYTES = 500, 4 << 20
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -176,6 +176,8 @@ def near_texts(docs: DataFrame, percent: int = 85) -> DataFrame:
         .where("center < other")
         .drop("other")
     )
+    # written first: a join of two plain shuffles can have its large partitions split
+    centers = settle(centers, "minhash_centers")
     stars = buckets.join(centers, "bucket").where("id <> center")
     clusters = components(
         stars.select(F.col("id").alias("a"), F.col("center").alias("b")).distinct()
