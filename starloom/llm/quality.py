@@ -16,7 +16,7 @@ from starloom.llm import text as tx
 #: Buckets of hashed n-grams, bytes of the character n-grams, words of the shape n-grams.
 BUCKETS, BYTE_GRAMS, SHAPE_GRAMS = 1 << 17, (3, 5), (1, 2, 3)
 #: At most so many labelled documents are fitted on, those of the smallest hash of their id.
-MAX_TRAINING_ROWS = 4_000
+MAX_TRAINING_ROWS = 3_000
 
 _KIND = np.zeros(256, np.uint8)  # 0 other sign, 1 lower or not ASCII, 2 upper, 3 digit
 _KIND[ord("a") : ord("z") + 1] = 1
@@ -170,7 +170,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, c: float = 1.0, epochs: int
 
     def scaled(found: np.ndarray) -> np.ndarray:
         value = ratio[found]
-        return value / max(np.sqrt((value**2).sum()), 1e-9)
+        return (value / max(np.sqrt((value**2).sum()), 1e-9)).astype(np.float32)
 
     values = [scaled(found) for found in rows]
     # every fifth row is held back once, for the sigmoid alone
