@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,10 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.cache import Recent
-
 #: Words that come in before a worker lets go of those it has not used since.
-CACHE_WORDS = 120_000
+CACHE_WORDS = 150_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 
 
@@ -42,13 +42,14 @@ class WordIds:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
+        if array("I").itemsize != 4 or sys.byteorder != "little":
+            raise RuntimeError("ids are written as the machine holds them: little-endian, 4 bytes")
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.merge, self.letters = self.tokenizer.model.tokenize, _byte_letters()
         self.known: dict[str, bytes] = {}
         self.aside: dict[str, bytes] = {}
-        self.parts = Recent(CACHE_WORDS, self._part)
         # the short cut is taken only where it gives what the tokenizer gives
         self.direct = all(
             self.tokenizer.encode(w, add_special_tokens=False).ids == self._direct(*_PLAIN.fullmatch(w).groups())
@@ -62,7 +63,12 @@ class WordIds:
         return self._merged(word.lower()) + (self._merged(signs) if signs else [])
 
     def _part(self, part: str) -> bytes:
-        return np.array(self._merged(part), "<u4").tobytes()
+        """A part is a word too, and kept as one."""
+        ids = self.known.get(part) or self.aside.get(part)
+        if ids is None:
+            ids = array("I", self._merged(part)).tobytes()
+        self.known[part] = ids
+        return ids
 
     def _each(self, words: list[str]) -> list[bytes]:
         """Ids of each word: all are encoded as one text and told apart by their offsets."""
@@ -75,18 +81,17 @@ class WordIds:
         return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def _learn(self, words: list[str]) -> None:
-        odd, parts, known = [], self.parts, self.known
+        odd, part, known = [], self._part, self.known
         for word in words:
             plain = _PLAIN.fullmatch(word) if self.direct else None
             if plain is None:
                 odd.append(word)
             elif signs := plain[2]:
-                known[word] = parts[plain[1].lower()] + parts[signs]
+                known[word] = part(plain[1].lower()) + part(signs)
             else:
-                known[word] = parts[word.lower()]
+                known[word] = part(word.lower())
         if odd:
             known.update(zip(odd, self._each(odd)))
-        parts.turn()
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
