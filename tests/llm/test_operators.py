@@ -167,6 +167,81 @@ def test_cards_stay_valid():
         assert pii.luhn_digit(digits[:-1]) == digits[-1] and digits[0] > 0
 
 
+def valid_cards(text):
+    """Begin and end of every Luhn number of 13 to 19 digits in whole groups."""
+    groups = [g.span() for g in re.finditer("[0-9]+", text)]
+    out = []
+    for i, (a, _) in enumerate(groups):
+        for j in range(i, len(groups)):
+            b = groups[j][1]
+            d = [int(c) for c in text[a:b] if c.isdigit()]
+            joined = re.fullmatch("[0-9]+(?:[ -][0-9]+)*", text[a:b])
+            if joined and 13 <= len(d) <= 19 and d[0] and pii.luhn_digit(d[:-1]) == d[-1]:
+                out.append((a, b))
+    return out
+
+
+def random_value(rng, kind):
+    if kind == "card":
+        size = rng.choice([13, 15, 16, 16, 16, 19])
+        d = [rng.randint(1, 9), *(rng.randint(0, 9) for _ in range(size - 2))]
+        card = "".join(map(str, [*d, pii.luhn_digit(d)]))
+        sep = rng.choice(["", " ", "-"])
+        return sep.join(card[k : k + 4] for k in range(0, size, 4))
+    if kind == "ip":
+        return ".".join(str(rng.randint(0, 255)) for _ in range(4))
+    if kind == "phone":
+        form = rng.choice(["+1 ({}) {}-{}", "({}) {}-{}", "+1 {} {} {}", "{}-{}-{}"])
+        return form.format(rng.randint(200, 999), rng.randint(200, 999), rng.randint(1000, 9999))
+    if kind == "email":
+        return f"j{rng.randint(0, 999)}.x@mail{rng.randint(0, 9)}.example.com"
+    return rng.choice(["12/27", "7", "42", "123", "2024", "12345", "3.5", "word"])
+
+
+def test_values_beside_other_digits():
+    f, rng = pii.Feistel(b"k"), random.Random(11)
+    for _ in range(1500):
+        kinds = [rng.choice(["card", "ip", "phone", "email", "", ""]) for _ in range(rng.randint(1, 6))]
+        values = [random_value(rng, kind) for kind in kinds]
+        text = " ".join(values)
+        new, n = pii.pseudonyms(text, f)
+        assert len(new) == len(text) and pii.pseudonyms(new, f, back=True) == (text, n)
+        for a, b in valid_cards(text):
+            assert new[a:b] != text[a:b], text
+        at = 0
+        for kind, value in zip(kinds, values):
+            assert not kind or new[at : at + len(value)] != value, (value, text, new)
+            if kind == "ip":
+                assert all(int(p) < 256 for p in new[at : at + len(value)].split("."))
+            at += len(value) + 1
+
+
+@pytest.mark.parametrize(
+    ("text", "n", "end"),
+    [
+        ("4785380592391139 12/27", 1, " 12/27"), ("4111 1111 1111 1111 12", 1, " 12"),
+        ("4111111111111111 4111111111111111", 2, ""), ("+1 (826) 555-4081 190.137.223.204", 2, ""),
+        ("DE89 3704 0044 0532 0130 00 EUR 1000", 1, " EUR 1000"), ("826-555-4081-12", 1, "-12"),
+        ("1(826) 555-4081", 1, ""), (" ".join(["4111 1111 1111 1111 1234"] * 30), 30, " 1234"),
+    ],
+)
+def test_a_value_ends_where_it_ends(text, n, end):
+    f = pii.Feistel(b"k")
+    new, got = pii.pseudonyms(text, f)
+    assert got == n and new.endswith(end) and pii.pseudonyms(new, f, back=True) == (text, n)
+    for a, b in valid_cards(text):
+        assert new[a:b] != text[a:b]
+
+
+def test_tables_of_numbers_turn_back():
+    f, rng = pii.Feistel(b"k"), random.Random(12)
+    for size in (5, 20, 300):
+        for _ in range(20):
+            text = " ".join(str(rng.randint(0, 10 ** rng.randint(1, 6))) for _ in range(size))
+            new, n = pii.pseudonyms(text, f)
+            assert pii.pseudonyms(new, f, back=True) == (text, n)
+
+
 def test_pseudonymize_rows(edge, nothing):
     out = pii.pseudonymize(edge, b"k", count="n_replaced")
     assert out.columns == [*edge.columns, "n_replaced"]
