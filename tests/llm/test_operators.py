@@ -242,6 +242,35 @@ def test_tables_of_numbers_turn_back():
             assert pii.pseudonyms(new, f, back=True) == (text, n)
 
 
+@pytest.mark.parametrize(
+    "value",
+    [
+        "MyPass!2024", "P@ss!word1", "eyJ" + "aB3_" * 700 + "tail99", "0a1b" * 900, '"two words, 42 more"',
+        "'it\\\'s a 2nd one'", '"first77\nsecond88"', "0" * 600 + "abc" * 200, "aBcDeF12",
+        "İİpaß\u212aword77x", "日本passé12",
+    ],
+)
+def test_secrets_are_replaced_whole(value):
+    f = pii.Feistel(b"k")
+    text = f"x password={value} rest 12"
+    new, n = pii.pseudonyms(text, f)
+    assert n == 1 and len(new) == len(text) and new.endswith(" rest 12")
+    assert pii.pseudonyms(new, f, back=True) == (text, 1)
+    for k in range(11, 11 + len(value) - 2):  # nowhere are three signs of the value left to read
+        if all(c.isascii() and c.isalnum() for c in text[k : k + 3]):
+            assert len(value) > 100 or new[k : k + 3] != text[k : k + 3]
+    for k in range(11, 11 + len(value) - 40, 40):
+        assert new[k : k + 40] != text[k : k + 40]
+    assert new[-20:-8] != text[-20:-8]
+
+
+def test_short_hexadecimal_turns_back():
+    f = pii.Feistel(b"k")
+    for k in range(256):
+        for value in (f"{k:02x}", f"{k:02X}", f"a{k:02X}"):
+            assert f.text(f.text(value, "t"), "t", back=True) == value
+
+
 def test_pseudonymize_rows(edge, nothing):
     out = pii.pseudonymize(edge, b"k", count="n_replaced")
     assert out.columns == [*edge.columns, "n_replaced"]
