@@ -166,20 +166,23 @@ def tsv_records(
 def read_records(
     spark: SparkSession, path: str, start: str, schema: T.StructType, free_tail: bool = False
 ) -> DataFrame:
-    """Typed rows of ``span_records``."""
-    return span_records(spark, path, start, schema, free_tail)[0]
+    """Typed rows of ``span_records``, of records of any number of lines: nothing here would
+    tell of those that are left out."""
+    return span_records(spark, path, start, schema, free_tail, whole=True)[0]
 
 
 def span_records(
-    spark: SparkSession, path: str, start: str, schema: T.StructType, free_tail: bool = False
-) -> tuple[DataFrame, DataFrame]:
+    spark: SparkSession, path: str, start: str, schema: T.StructType, free_tail: bool = False,
+    whole: bool = False,
+) -> tuple[DataFrame, DataFrame]:
     """Typed rows and rejects of records that span lines: one starts at each line that matches
     ``start``.
 
     Large files stay split. Each split counts its record starts; the starts in earlier splits
     of the file are added, so the lines at the head of a split join the record they belong to.
     Lines before the first start of a file are not part of any record: they are rejects, line by
-    line. So are the lines of a record of more than RECORD_LINES lines, which no task gathers."""
+    line. So are the lines of a record of more than RECORD_LINES lines, which no task gathers; with
+    ``whole`` it is a record like others, its lines joined by split, then its splits in order."""
     lines = (
         spark.read.option("lineSep", "\n")
         .text(path)
@@ -212,14 +215,21 @@ def span_records(
     numbered = numbered.withColumn("_record", record)
     sizes = numbered.groupBy("_file", "_record").agg(F.count("*").alias("_n"))
     large = sizes.where(F.col("_n") > RECORD_LINES).select("_file", "_record")
-    whole = numbered.where(record > 0).join(large, ["_file", "_record"], "left_anti")
-    texts = whole.groupBy("_file", "_record").agg(
-        F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("text")
-    )
+    joined = F.array_join(F.transform(parts, lambda p: p["value"]), "\n")
+    gathered = numbered.where(record > 0)
+    if whole:
+        gathered = gathered.groupBy("_file", "_record", "_split").agg(
+            F.min("_line").alias("_line"), joined.alias("value")
+        )
+    else:
+        gathered = gathered.join(large, ["_file", "_record"], "left_anti")
+    texts = gathered.groupBy("_file", "_record").agg(joined.alias("text"))
     rows, rejects = parse_records(texts.select("text"), schema, free_tail)
     loose = numbered.where(record == 0).select(
         F.col("value").alias("text"), F.lit("before the first record").alias("reason")
     )
+    if whole:
+        return rows, rejects.unionByName(loose)
     endless = numbered.where(record > 0).join(large, ["_file", "_record"], "left_semi").select(
         F.col("value").alias("text"), F.lit("in a record of too many lines").alias("reason")
     )

@@ -120,6 +120,18 @@ def test_last_field_of_a_record_keeps_tabs_and_lines(spark, tmp_path, monkeypatc
     assert [r.id for r in rows.collect()] == [1] and rejects.count() == 4
 
 
+def test_rows_alone_leave_no_long_record_out(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("starloom.sources.dumps.RECORD_LINES", 2)
+    lines = [str(k) for k in range(5000)]
+    path = write(tmp_path, "1\t5\tx\tfirst\n" + "\n".join(lines) + "\n\n2\t6\tx\ny\nz\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        rows = read_records(spark, path, r"^\d+\t\d+\t", SCHEMA, free_tail=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r.id: r.note for r in rows} == {1: "\n".join(["x\tfirst", *lines, ""]), 2: "x\ny\nz"}
+
+
 def test_rejected_measures(spark):
     lines = spark.createDataFrame(
         [(1, 1, 2, 3.0, 0.0, 12345678.5), (1, 2, None, 3.0, 0.0, 5.0), (1, 3, 1, 1.0, None, 1.0)],
