@@ -473,6 +473,14 @@ def test_quality_on_held_out_rows(spark, folder):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows.values())
 
 
+def test_fitted_on_4000_rows(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels: taken.append(len(rows)))
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    quality.train(docs, docs.select("doc_id", (F.col("doc_id") % 2).alias("quality")))
+    assert taken == [4000]
+
+
 def test_quality_edges(spark, edge, nothing, folder, docs):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     model = quality.train(docs, labels)
