@@ -131,12 +131,13 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int, longest: int = 4096)
 
     A document's ids are its text's, then ``end_id``. Each piece is a sequence of its own:
     sequences of one length form a bucket and are batched together without padding, and
-    attention never sees two documents. Columns: doc_id, start (ids before the piece in its
+    attention never sees two documents. Every task gives its buckets one after the other and
+    numbers sequences in that order. Columns: doc_id, start (ids before the piece in its
     document), length, ids (little-endian 32-bit), doc_tokens, sequence_id, offset (always 0).
 
     ``longest`` must be a power of two. Null texts are empty and give the end id alone; null
     ids are kept; repeated rows are packed again. An empty table gives no pieces. Nothing is
-    shuffled: a document is read, cut and written in its own task.
+    shuffled: a document is read, cut, sorted and written in its own task.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
@@ -162,7 +163,7 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int, longest: int = 4096)
             yield _pieces(rows)
 
     pieces = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, PIECES)
-    return pieces.withColumns(
+    return pieces.sortWithinPartitions("length").withColumns(
         {"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("bigint")}
     )
 

@@ -525,6 +525,17 @@ def check_pieces(rows, texts, longest):
         assert {r.doc_tokens for r in parts} == {len(ids)}
 
 
+def test_sequences_are_numbered_by_length(docs):
+    file = tokenizer_path("word_bpe_49k.json")
+    rows = packing.pack(docs.repartition(3), file, 2).select("sequence_id", "length").collect()
+    assert len({r.sequence_id for r in rows}) == len(rows)
+    runs = Counter()
+    lengths = [(r.sequence_id >> 33, r.length) for r in sorted(rows)]
+    for one, two in zip([None, *lengths], lengths):
+        runs[two] += one != two
+    assert set(runs.values()) == {1}  # in a task every bucket is one run
+
+
 def test_packing(spark, docs, edge, nothing, tmp_path):
     file = tokenizer_path("word_bpe_49k.json")
     check_pieces(packing.pack(docs, file, 2).collect(), {r.doc_id: r.text for r in docs.collect()}, 4096)
