@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
-    minhash, mixing, packing, pii, quality, repeats, tokens, topk, urls, vecdedup,
+    merkle, minhash, mixing, packing, pii, quality, repeats, tokens, topk, urls, vecdedup,
 )
 
 
@@ -98,12 +98,16 @@ def op10_densified_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_texts(read(spark, folder, "documents").select("doc_id", "text"), 85)
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_feistel_pii, op2_prefix_token_counts, op3_run_length_repeats,
         op4_cross_polytope_vectors, op5_nb_svm_quality, op6_power_of_two_packing,
         op7_histogram_top_k, op8_redirect_url_filter, op9_hash_threshold_mixing,
-        op10_densified_minhash,
+        op10_densified_minhash, op11_merkle_manifest,
     )
 }

@@ -152,3 +152,74 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
     d.doc_id = least(d.doc_id, coalesce(r.low, d.doc_id)) AS kept
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least_reached r ON r.a = d.doc_id
 """
+
+#: Unsigned crc32 of column ``{}`` as text, by a table of 256 entries made by its rule.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+    string_split({0}, ''), lambda c: ascii(c)::BIGINT)), lambda acc, b:
+    xor(acc >> 8, crc.entries[(xor(acc, b) & 255) + 1])))"""
+_CRC_TABLE = """crc AS (
+    SELECT list(entry ORDER BY i) AS entries FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS entry
+        FROM range(256) r(i)))"""
+
+
+def _said(*values: str) -> str:
+    return " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values)
+
+
+def _tree(name: str, start: str, group: str) -> str:
+    """Nodes of all levels, each with its siblings before and after."""
+    run = f"PARTITION BY height, {group}, rank // 8 ORDER BY rank ROWS BETWEEN"
+    return f"""{name}(height, {group}, rank, n, digest) AS (
+    {start}
+    UNION ALL SELECT height + 1, {group}, rank // 8, (n + 7) // 8,
+        sha256(string_agg(digest, '' ORDER BY rank))
+    FROM {name} WHERE n > 1 GROUP BY height, {group}, rank // 8, n),
+{name}_runs AS (
+    SELECT *, coalesce(string_agg(digest, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(digest, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM {name})"""
+
+
+SQL["op11_merkle_manifest"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (
+    SELECT doc_id, lang,
+        sha256({_said("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", "text")}) AS leaf,
+        CASE WHEN doc_id IS NOT NULL AND {_CRC.format("doc_id::VARCHAR")} % 3 = 0
+            THEN sha256({_said("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", "lowered")})
+        END AS tampered
+    FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+        AS lowered FROM documents), crc),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+        count(*) OVER (PARTITION BY lang) AS n
+    FROM leaves),
+{_tree("nodes", "SELECT 0, lang, rank, n, leaf FROM placed", "lang")},
+langs AS (
+    SELECT 0 AS everything, lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank,
+        count(*) OVER () AS n
+    FROM nodes WHERE n = 1),
+{_tree("tops", "SELECT 0, everything, rank, n, digest FROM langs", "everything")},
+climb(lang, leaf_rank, height, rank, acc, proof) AS (
+    SELECT lang, rank, 0, rank, coalesce(tampered, leaf), '' FROM placed
+    UNION ALL SELECT c.lang, c.leaf_rank, c.height + 1, c.rank // 8, sha256(s.l || c.acc || s.r),
+        c.proof || s.l || s.r
+    FROM climb c JOIN nodes_runs s ON s.height = c.height AND s.lang IS NOT DISTINCT FROM c.lang
+        AND s.rank = c.rank WHERE s.n > 1),
+atop AS (SELECT DISTINCT ON (lang, leaf_rank) * FROM climb ORDER BY lang, leaf_rank, height DESC),
+climb_on(lang, leaf_rank, height, rank, acc, proof) AS (
+    SELECT a.lang, a.leaf_rank, 0, g.rank, a.acc, a.proof
+    FROM atop a JOIN langs g ON g.lang IS NOT DISTINCT FROM a.lang
+    UNION ALL SELECT c.lang, c.leaf_rank, c.height + 1, c.rank // 8, sha256(s.l || c.acc || s.r),
+        c.proof || s.l || s.r
+    FROM climb_on c JOIN tops_runs s ON s.height = c.height AND s.rank = c.rank WHERE s.n > 1),
+reached AS (
+    SELECT DISTINCT ON (lang, leaf_rank) * FROM climb_on ORDER BY lang, leaf_rank, height DESC)
+SELECT p.doc_id, p.leaf, g.digest AS subroot, t.digest AS root, sha256(e.proof) AS proof_sha256,
+    e.acc AS folded_root, e.acc = t.digest AS verified
+FROM placed p JOIN reached e ON e.lang IS NOT DISTINCT FROM p.lang AND e.leaf_rank = p.rank
+JOIN langs g ON g.lang IS NOT DISTINCT FROM p.lang
+JOIN (SELECT digest FROM tops WHERE n = 1) t ON true
+"""
