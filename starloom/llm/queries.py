@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
-    merkle, minhash, mixing, packing, pii, quality, repeats, tokens, topk, urls, vecdedup,
+    conversations, merkle, minhash, mixing, packing, pii, quality, repeats, tokens, topk, urls, vecdedup,
 )
 
 
@@ -102,6 +102,10 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(read(spark, folder, "documents"))
 
 
+def op13_lr_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.report(conversations.damage(read(spark, folder, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -109,5 +113,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_cross_polytope_vectors, op5_nb_svm_quality, op6_power_of_two_packing,
         op7_histogram_top_k, op8_redirect_url_filter, op9_hash_threshold_mixing,
         op10_densified_minhash, op11_merkle_manifest,
+        op13_lr_conversation_repair,
     )
 }

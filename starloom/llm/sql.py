@@ -223,3 +223,85 @@ FROM placed p JOIN reached e ON e.lang IS NOT DISTINCT FROM p.lang AND e.leaf_ra
 JOIN langs g ON g.lang IS NOT DISTINCT FROM p.lang
 JOIN (SELECT digest FROM tops WHERE n = 1) t ON true
 """
+
+
+def _edit(state: str, cost: str, letter: str, line: str = "") -> str:
+    said = f"{state}.t || chr(10) || {line}" if line else f"{state}.t"
+    return (
+        f"CASE WHEN {state} IS NOT NULL THEN "
+        f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {said}}} END"
+    )
+
+
+def _insert(state: str, role: str) -> str:
+    return _edit(state, "2", "I", f"'{role}:'")
+
+
+def _take(state: str, initial: str, role: str) -> str:
+    """The row as ``role``: kept if it has that initial, else reroled."""
+    return (
+        f"CASE WHEN fault IN (1, 2) THEN NULL WHEN i = '{initial}' THEN "
+        + _edit(state, "cut", "K", "role || ':' || text")
+        + " ELSE " + _edit(state, "(2 + cut)", "R", f"'{role}:' || text") + " END"
+    )
+
+
+# states of (s?(ua)+)?: 0 nothing yet, 1 behind s, 2 behind u, 3 behind a
+SQL["op13_lr_conversation_repair"] = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+said AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations),
+kinds AS (SELECT said.*, {_CRC.format("key")} % 20 AS kind FROM said, crc),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+            ELSE text END AS text,
+        unnest(CASE WHEN kind = 0 THEN [] WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS time
+    FROM kinds),
+ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id
+            ORDER BY turn NULLS FIRST, role, md5(text), time) AS k,
+        left(role, 1) AS i, regexp_extract(text, '(?s)([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS solid
+    FROM damaged),
+judged AS (
+    SELECT *, CASE WHEN solid = '' THEN 1
+            WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 2
+            WHEN solid NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+        (k > 1 AND coalesce(lag(i) OVER (PARTITION BY conv_id ORDER BY k), '') || i
+            NOT IN ('su', 'ua', 'au'))::BIGINT AS odd
+    FROM ordered),
+coded AS (SELECT *, CASE WHEN fault = 3 THEN 1 ELSE 0 END AS cut FROM judged),
+start AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS k, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0 FROM conversations),
+walk(conv_id, k, s0, s1, s2, s3) AS (
+    SELECT conv_id, k, s0, CASE WHEN k < 0 THEN s0 END, CASE WHEN k < 0 THEN s0 END,
+        CASE WHEN k < 0 THEN s0 END
+    FROM start
+    UNION ALL
+    SELECT conv_id, k, {_edit("s0", "3", "D")},
+        least({_edit("s1", "3", "D")},
+            CASE WHEN i = 's' AND fault NOT IN (1, 2) THEN {_edit("s0", "cut", "K", "role || ':' || text")} END),
+        least({_edit("c2", "3", "D")}, {_take("s0", "u", "user")}, {_take("s1", "u", "user")},
+            {_take("c3", "u", "user")}),
+        least({_edit("c3", "3", "D")}, {_take("c2", "a", "assistant")})
+    FROM (SELECT *, least(s3, {_insert("c2", "assistant")}) AS c3 FROM (
+        SELECT w.* EXCLUDE (k), r.* EXCLUDE (conv_id), least(s2, {_insert("s0", "user")},
+            {_insert("s1", "user")}, {_insert("s3", "user")}) AS c2
+        FROM walk w JOIN coded r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.k = w.k + 1))),
+ended AS (
+    SELECT conv_id, k, least(s0, s3, {_insert("s2", "assistant")}) AS best,
+        row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) AS back
+    FROM walk),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+        count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+        count(*) FILTER (fault = 3) AS truncated, sum(odd)::BIGINT AS illegal
+    FROM judged GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+    coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+    sha256(substr(best.t, 2)) AS repaired_sha256
+FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id WHERE back = 1
+"""
