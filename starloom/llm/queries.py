@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
-    conversations, merkle, minhash, mixing, packing, pii, quality, repeats, tokens, topk, urls, vecdedup,
+    conversations, merkle, minhash, mixing, packing, pii, quality, repeats, secrets, tokens, topk,
+    urls, vecdedup,
 )
 
 
@@ -102,6 +103,15 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(read(spark, folder, "documents"))
 
 
+def op12_grammar_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(read(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *(secrets.count(F.col("base"), k).alias(f"n_{k}") for k in secrets.KINDS),
+        F.sha2(secrets.said(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.said(secrets.in_order(F.col("base"), F.col("added"))).alias("spans"),
+    )
+
+
 def op13_lr_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.report(conversations.damage(read(spark, folder, "conversations")))
 
@@ -113,6 +123,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_cross_polytope_vectors, op5_nb_svm_quality, op6_power_of_two_packing,
         op7_histogram_top_k, op8_redirect_url_filter, op9_hash_threshold_mixing,
         op10_densified_minhash, op11_merkle_manifest,
-        op13_lr_conversation_repair,
+        op12_grammar_secret_scan, op13_lr_conversation_repair,
     )
 }
