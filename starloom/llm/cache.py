@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 
+#: Characters of a key that is kept; longer ones are made anew, so that the keys' number bounds the bytes.
+LONGEST = 64
+
+
 class Recent(dict):
     """Values by key. Holds the keys used lately: at most twice ``limit`` and a few more.
 
@@ -20,7 +24,8 @@ class Recent(dict):
         value = self.aside.get(key)
         if value is None:
             value = self.make(key)
-        self[key] = value
+        if len(key) <= LONGEST:
+            self[key] = value
         return value
 
     def turn(self) -> None:

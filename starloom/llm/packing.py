@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
+import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words that come in before a worker lets go of those it has not used since.
-CACHE_WORDS = 150_000
+from starloom.llm.cache import Recent
+
+#: Parts of texts that come in before a worker lets go of those it has not used since, and odd words.
+CACHE_PARTS, CACHE_WORDS = 200_000, 50_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 
 
-#: A word of Latin letters and closing signs: two parts to the tokenizer, whatever stands around it.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+#: Characters of texts that take the short way: ASCII and Latin-1 without control characters. They are
+#: in normal form, and none of them changes with what stands beside it.
+_SHORT = "\t\n\r" + "".join(map(chr, [*range(32, 127), *range(161, 173), *range(174, 256)]))
+_OTHER = re.compile(f"[^{re.escape(_SHORT)}]")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -30,12 +36,33 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(other)}
 
 
+def _splitter(file: str) -> tuple[re.Pattern | None, re.Pattern]:
+    """The tokenizer's own split of lower-cased texts of short characters, if it has that form, and
+    what finds its special strings."""
+    with open(file, encoding="utf-8") as source:
+        config = json.load(source)
+    special = [re.escape(t["content"]) for t in config.get("added_tokens") or []]
+    steps = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    pattern = steps[0].get("pattern", {}).get("Regex")
+    kinds = {"L": "", "N": ""}
+    for c in sorted(set(_SHORT.lower())):
+        kind = unicodedata.category(c)[0]
+        if kind in kinds:
+            kinds[kind] += c
+    if pattern is not None:
+        for kind, chars in kinds.items():
+            pattern = pattern.replace(f"\\p{{{kind}}}", chars)
+        pattern = None if "\\p" in pattern else re.compile(pattern)
+    return pattern, re.compile("|".join(special) or "$^")
+
+
 class WordIds:
     """Ids of texts under a tokenizer that drops white space between words.
 
-    Splitting at spaces and line feeds changes no id then, so words are encoded once and kept. A
-    plain word is its letters, lower-cased, and its closing signs; letters go to the merges
-    directly. All other words go through the whole tokenizer.
+    Texts of short characters are lower-cased and split as the tokenizer splits them; each part is
+    merged once and kept, with one look-up each time it comes. In other texts, and in those with
+    special strings, words between spaces and line feeds are the unit, and the odd ones go through
+    the whole tokenizer.
     """
 
     def __init__(self, file: str):
@@ -48,64 +75,41 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.merge, self.letters = self.tokenizer.model.tokenize, _byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.aside: dict[str, bytes] = {}
-        # the short cut is taken only where it gives what the tokenizer gives
-        self.direct = all(
-            self.tokenizer.encode(w, add_special_tokens=False).ids == self._direct(*_PLAIN.fullmatch(w).groups())
-            for w in ("Hello,", "É", "straße!!", "aßÀ", "the", "àíÿ.", "Ñandú;")
-        )
-
-    def _merged(self, part: str) -> list[int]:
-        return [t.id for t in self.merge(part.encode().decode("latin-1").translate(self.letters))]
-
-    def _direct(self, word: str, signs: str) -> list[int]:
-        return self._merged(word.lower()) + (self._merged(signs) if signs else [])
-
-    def _part(self, part: str) -> bytes:
-        """A part is a word too, and kept as one."""
-        ids = self.known.get(part) or self.aside.get(part)
-        if ids is None:
-            ids = array("I", self._merged(part)).tobytes()
-        self.known[part] = ids
-        return ids
-
-    def _each(self, words: list[str]) -> list[bytes]:
-        """Ids of each word: all are encoded as one text and told apart by their offsets."""
-        got = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(got.ids, "<u4")
-        starts = np.array([start for start, _ in got.offsets], np.int64)
-        ends = np.cumsum([len(w) + 1 for w in words])
-        cuts = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
-        raw = ids.tobytes()
-        return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
-
-    def _learn(self, words: list[str]) -> None:
-        odd, part, known = [], self._part, self.known
-        for word in words:
-            plain = _PLAIN.fullmatch(word) if self.direct else None
-            if plain is None:
-                odd.append(word)
-            elif signs := plain[2]:
-                known[word] = part(plain[1].lower()) + part(signs)
-            else:
-                known[word] = part(word.lower())
-        if odd:
-            known.update(zip(odd, self._each(odd)))
+        self.split, self.special = _splitter(file)
+        self.parts = Recent(CACHE_PARTS, self._merged)
+        self.words = Recent(CACHE_WORDS, self._word)
+        # the short way is taken only where it gives what the tokenizer gives
+        probe = ("Hello, it's", "É²½ 12a", "straße!!'s", "aßÀ ª_x", "àíÿ.\t\r\nÑandú; ÷×", "''s'll 'D")
+        if self.split and any(self._short(t) != self._whole(t) for t in probe):
+            self.split = None
+
+    def _merged(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.merge(part)]).tobytes()
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _short(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, self.split.findall(text.lower())))
+
+    def _plain(self, text: str) -> bool:
+        return bool(self.split) and not _OTHER.search(text) and not self.special.search(text)
+
+    def _word(self, word: str) -> bytes:
+        return self._short(word) if self._plain(word) else self._whole(word)
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         for text in texts:
-            words = text.replace("\n", " ").split(" ")
-            if new := set(words).difference(self.known):
-                if back := [w for w in new if w in self.aside]:
-                    self.known.update((w, self.aside[w]) for w in back)
-                    new.difference_update(back)
-                if new:
-                    self._learn(list(new))
-            yield b"".join(map(self.known.__getitem__, words))
-            if len(self.known) > CACHE_WORDS:
-                self.known, self.aside = {}, self.known
+            if self._plain(text):
+                yield self._short(text)
+            else:
+                words = text.replace("\n", " ").split(" ")
+                yield b"".join(map(self.words.__getitem__, words))
+                self.words.turn()
+            self.parts.turn()
 
 
 _loaded: dict[str, WordIds] = {}
@@ -147,8 +151,8 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int, longest: int = 4096)
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
             held = 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                (body,) = encoder.encode([text.as_py() or ""])
+            texts = (text.as_py() or "" for text in batch.column(1))
+            for doc, body in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
                 ids, start = memoryview(body + end), 0
                 total = len(ids) // 4
                 for length in binary_lengths(total, longest):

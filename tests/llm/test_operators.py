@@ -558,6 +558,25 @@ def test_words_encode_as_in_their_text():
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
         (got,) = own.encode([text])
         assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    # every character of ASCII and Latin-1 beside every kind, on the short way and off it
+    letters = [chr(c) for c in range(0x180)] + ["'s", "'LL", "<|", "|>", " ", "\n", "Σ", "\u0301"] * 9
+    assert own.split is not None
+    for _ in range(6000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 14)))
+        (got,) = own.encode([text])
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_caches_stay_within_bytes(docs):
+    """Long strings are not kept; what was used lately comes back after a turn."""
+    from starloom.llm.cache import LONGEST, Recent
+
+    made = Recent(3, lambda key: key * 2)
+    assert made["x" * (LONGEST + 1)] == "x" * 2 * (LONGEST + 1) and not made
+    for key in "abcda":
+        made[key]
+    made.turn()
+    assert not made and made["a"] == "aa" and set(made) == {"a"}
 
 
 # 7 top k --------------------------------------------------------------------------------------
