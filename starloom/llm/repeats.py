@@ -22,8 +22,10 @@ from starloom.llm.vectors import groups, slices
 from starloom.staging import new_path
 
 #: Bytes of an anchor's gram, the core of its segments; bytes of segments indexed together; segments of
-#: one core beyond which its strings are counted one by one over the cluster.
+#: one core beyond which they are cut and told apart by more of the bytes around it.
 GRAM, INDEX_BYTES, CORE_SEGMENTS = 48, 1 << 19, 4096
+#: Bits of a place in a text; the rest of 64 are of the hash that chooses an anchor, in texts of any length.
+PLACE_BITS = 31
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -58,12 +60,15 @@ class RunLengthIndex:
         return best
 
 
-#: Bytes that the first sort of suffixes looks at; each round doubles them.
+#: Signs that the first sort of suffixes looks at, 9 bits each; each round doubles them.
 _FIRST = 7
+#: Stands behind every segment.
+SEPARATOR = 256
 
 
 def suffix_array(text: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Positions in the order of their suffixes; the end of the text comes before any byte.
+    """Positions in the order of their suffixes; the end of the text comes before any sign, bytes
+    before the separator.
 
     Also the rank of every position by its first 7, 14, 28 and so on bytes, equal where they are.
     """
@@ -136,10 +141,14 @@ def build_index(text: np.ndarray) -> RunLengthIndex:
 def repeated_starts(segments: list[bytes], length: int) -> list[np.ndarray]:
     """For each segment a flag per string of ``length`` bytes: whether it starts elsewhere too.
 
-    The segments are laid end to end, a zero byte after each; a match over that byte would be one
-    of the segments' ends too, so lengths are cut at the segment's end.
+    The segments are laid end to end, after each a sign that is no byte. No string of a segment
+    holds that sign, so none matches over one, whatever bytes the texts are of.
     """
-    text = np.frombuffer(b"".join(s + b"\0" for s in segments), np.uint8)
+    text = np.full(sum(map(len, segments)) + len(segments), SEPARATOR, np.int16)
+    at = 0
+    for segment in segments:
+        text[at : at + len(segment)] = np.frombuffer(segment, np.uint8)
+        at += len(segment) + 1
     matching = build_index(text).matching(len(text))
     out, at = [], 0
     for segment in segments:
@@ -160,7 +169,7 @@ def _windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
         return empty, empty, empty, empty.astype(np.uint64)
     prefix = tx.prefix_hashes(data)
     at = np.arange(n - GRAM + 1)
-    bits = np.uint64(max(24, int(n).bit_length()))
+    bits = np.uint64(PLACE_BITS)
     hashes = tx.span_hashes(prefix, at, at + GRAM)
     least = hashes >> bits << bits | at.astype(np.uint64)
     width = 1
@@ -274,7 +283,31 @@ def find_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     distinct = parts.groupBy("core", "digest").agg(
         F.first("segment").alias("segment"), F.count("*").alias("n")
     )
-    distinct = _settle(distinct, "distinct_segments")
+    # where the core stands is looked up in the few segments that are cut
+    distinct = distinct.withColumns({"at": F.lit(-1), "width": F.lit(GRAM)})
+    hits = _hits(_settle(distinct, "distinct_segments"), length)
+    return (
+        parts.select("core", "digest", "one", "two", "first")
+        .join(_settle(hits, "segment_hits"), ["core", "digest"])
+        .groupBy("one", "two")
+        .agg(
+            F.collect_set(
+                F.struct((F.col("first") + F.col("low")).alias("first"), (F.col("first") + F.col("high")).alias("last"))
+            ).alias("spans")
+        )
+    )
+
+
+def _hits(distinct: DataFrame, length: int) -> DataFrame:
+    """(core, digest, low, high): runs of repeated strings in ``distinct(core, digest, segment, n, at,
+    width)``, different segments by the core they share. All strings of a segment hold its core, the
+    ``width`` bytes at ``at``; equal strings have it at the same place.
+
+    Segments of a core are indexed together. Around a core with too many of them each is cut in two: the
+    strings with more bytes before the core, which share those next to it, and the strings with more
+    behind. Core and shared bytes are the core of the cut segments, and they are indexed in their turn. A
+    cut halves what is not shared, so after eight of them a core is the whole string.
+    """
     crowded = (
         distinct.groupBy("core").agg(F.count("*").alias("m")).where(F.col("m") > CORE_SEGMENTS)
     ).select("core")
@@ -314,32 +347,63 @@ def find_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
         .select("core", "digest", "segment", "n")
         .mapInArrow(index, "core bigint, digest binary, low int, high int")
     )
-    if not crowded.isEmpty():
-        # too many different segments around one core for one index: count string by string
-        starts = F.sequence(F.lit(1), F.octet_length("segment") - length + 1)
-        strings = distinct.join(crowded, "core", "left_semi").select(
-            "core", "digest", "n", "segment", F.explode(starts).alias("k")
-        )
-        strings = strings.select(
-            "core", "digest", "n", "k", F.md5(F.substring("segment", F.col("k"), F.lit(length))).alias("s")
-        )
-        often = strings.groupBy("s").agg(F.sum("n").alias("total")).where("total > 1").select("s")
-        more = strings.join(often, "s").select(
-            "core", "digest", (F.col("k") - 1).cast("int").alias("low"), (F.col("k") - 1).cast("int").alias("high")
-        )
-        hits = hits.unionByName(more)
-    return (
-        parts.select("core", "digest", "one", "two", "first")
-        .join(_settle(hits, "segment_hits"), ["core", "digest"])
-        .groupBy("one", "two")
-        .agg(
-            F.collect_set(
-                F.struct((F.col("first") + F.col("low")).alias("first"), (F.col("first") + F.col("high")).alias("last"))
-            ).alias("spans")
-        )
+    if crowded.isEmpty():
+        return hits
+    schema = "whole bigint, uncut binary, core bigint, digest binary, shift int, segment binary, n bigint, at int, width int"
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in schema.split(", ")]
+        types = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32()]
+        for batch in slices(batches, 2000):
+            out = []
+            for core, digest, segment, n, at, width in zip(*(c.to_pylist() for c in batch.columns)):
+                for shift, part, place, wide in _halves(segment, core, at, width, length):
+                    held = part[place : place + wide]
+                    inner = int.from_bytes(hashlib.blake2b(held, digest_size=8).digest(), "big", signed=True)
+                    mark = hashlib.blake2b(part + place.to_bytes(4, "big"), digest_size=16).digest()
+                    out.append((core, digest, inner, mark, shift, part, n, place, wide))
+            columns = list(zip(*out)) or [[] for _ in names]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types)], names=names
+            )
+
+    many = distinct.join(crowded, "core", "left_semi").select("core", "digest", "segment", "n", "at", "width")
+    halves = _settle(many.mapInArrow(cut, schema), "cut_segments")
+    inner = halves.groupBy("core", "digest").agg(
+        *(F.first(c).alias(c) for c in ("segment", "at", "width")), F.sum("n").alias("n")
+    )
+    found = _settle(_hits(_settle(inner, "distinct_segments"), length), "cut_hits")
+    # the hits are written: halves that many segments share can be split
+    back = halves.select("whole", "uncut", "core", "digest", "shift").join(found, ["core", "digest"])
+    place = [(F.col("shift") + F.col(c)).alias(c) for c in ("low", "high")]
+    return hits.unionByName(
+        back.select(F.col("whole").alias("core"), F.col("uncut").alias("digest"), *place)
     )
 
 
+def _halves(
+    segment: bytes, core: int, at: int, width: int, length: int
+) -> Iterator[tuple[int, bytes, int, int]]:
+    """The segment's strings with more bytes before the core, then those with more behind it: where
+    the part begins, the part, and the place and width of the wider core in it."""
+    last = len(segment) - length  # start of the last string
+    if at < 0:
+        # the leftmost gram of that hash that all strings hold is their anchor
+        data = np.frombuffer(segment, np.uint8)
+        places = np.arange(last, length - GRAM + 1)
+        hashes = tx.span_hashes(tx.prefix_hashes(data), places, places + GRAM).view(np.int64)
+        at = int(places[np.flatnonzero(hashes == core)[0]])
+    free = length - width
+    before = (free + 1) // 2
+    # a string that starts at x has at - x bytes before the core
+    split = min(last, at - before)
+    if split >= 0:
+        yield 0, segment[: split + length], at - before, width + before
+    start = max(0, at - before + 1)
+    if start <= last:
+        yield start, segment[start:], at - start, width + free - before + 1
+
+
 def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, n_bytes, n_removed, n_spans, kept.
 

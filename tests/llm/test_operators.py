@@ -376,6 +376,69 @@ def test_index_is_run_length_compressed():
     assert (index.matching(len(text))[:once] == len(text) - once - np.arange(once)).all()
 
 
+@pytest.mark.parametrize("letters", [b"\0a", b"\0ab", b"\0\xff\x01"])
+def test_index_takes_any_bytes(letters):
+    """Also bytes that might be taken for the end of a segment."""
+    rng = random.Random(len(letters))
+    for _ in range(60):
+        segments = [bytes(rng.choice(letters) for _ in range(rng.randint(3, 40))) for _ in range(rng.randint(1, 9))]
+        count = Counter(s[i : i + 6] for s in segments for i in range(len(s) - 5))
+        for s, found in zip(segments, repeats.repeated_starts(segments, 6)):
+            assert found.tolist() == [count[s[i : i + 6]] > 1 for i in range(len(s) - 5)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_halves_hold_every_string_once(seed):
+    """Equal strings come to equal wider cores, however their segments go on, down to whole strings."""
+    rng = random.Random(seed)
+    length, gram = 120, repeats.GRAM
+    middle = bytes(rng.choice(b"ab") for _ in range(gram))
+    keys = {}
+    for _ in range(60):
+        left, right = (bytes(rng.choice(b"ab") for _ in range(3)) * 40 for _ in range(2))
+        a, b = rng.randint(0, length - gram), rng.randint(0, length - gram)
+        segment = left[len(left) - a :] + middle + right[:b]
+        if len(segment) < length:
+            continue
+        todo = [(0, segment, a, gram)]
+        while todo:
+            shift, part, at, width = todo.pop()
+            assert all(x <= at and at + width <= x + length for x in range(len(part) - length + 1))
+            if width == length:
+                assert len(part) == length and at == 0
+                keys.setdefault(part, set()).add((at, width))
+                continue
+            halves = list(repeats._halves(part, 0, at, width, length))
+            starts = [s + x for s, p, _, _ in halves for x in range(len(p) - length + 1)]
+            assert sorted(starts) == list(range(len(part) - length + 1))
+            for s, p, place, wide in halves:
+                assert part[s : s + len(p)] == p and wide > width
+                todo.append((shift + s, p, place, wide))
+    assert len(keys) > 100
+
+
+def nul_rows():
+    """One string that stands once but reads like the end of a text, a zero byte and a beginning."""
+    rng = random.Random(8)
+    one, two = ("".join(rng.choice("abcdefgh") for _ in range(n)) for n in (150, 49))
+    texts = [one + "\0" + two]
+    for k in range(6):
+        texts.append("".join(rng.choice("ijklmnop") for _ in range(100)) + one)
+        texts.append(two + one[:1] + "".join(rng.choice("qrstuvwx") for _ in range(200)))
+    texts += ["".join(rng.choice("\0a") for _ in range(600)) + one + "\0" for _ in range(3)]
+    texts += ["\0" * 450, "\0" * 199, "a" + "\0" * 200, "\0" * 200 + "b"]
+    return texts
+
+
+@pytest.mark.parametrize("crowd", [4096, 2])
+def test_repeats_of_texts_with_zero_bytes(spark, monkeypatch, crowd):
+    monkeypatch.setattr(repeats, "CORE_SEGMENTS", crowd)
+    texts = nul_rows()
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(df).collect()}
+    assert got == dict(enumerate(brute_repeats(texts, 200)))
+
+
 @pytest.mark.parametrize("crowd", [4096, 1])
 def test_repeats_of_edges(edge, nothing, monkeypatch, crowd):
     monkeypatch.setattr(repeats, "CORE_SEGMENTS", crowd)
