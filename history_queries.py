@@ -7,13 +7,22 @@ of them with a gap behind, and each twenty-fifth has three-day offers beside the
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import retail_oracle
+from starloom.operators.audit import audit_summary
 from starloom.operators.intervals import interval_join, merged_spans, span_gaps, span_overlaps
 from starloom.operators.skew import hot_keys
+from starloom.operators.versions import merge_versions, version_at
+from starloom.plans.schemas import DIMENSIONS, FACT
+from starloom.plans.star import run_warehouse
+from starloom.sinks import AtomicStore
 from starloom.sources.retail import MONEY, retail_source, retail_table
+from starloom.staging import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -223,3 +232,130 @@ WITH {_VISITS}, {_VISIT_RUN}
 SELECT "UserID", b + INTERVAL 1 MICROSECOND AS "FromTime", s - INTERVAL 1 MICROSECOND AS "ToTime"
 FROM flagged WHERE f = 1 AND b IS NOT NULL
 """
+
+
+SNAPSHOT_DAYS = [date(1996, 1, 1), date(1997, 6, 1), date(1999, 1, 1)]
+
+
+def _customers_on(spark: SparkSession, folder: str, turn: int, wrong: bool = False) -> DataFrame:
+    """Customers as they are on the turn's day: some come later, some go for a while, segments and
+    nations change. ``wrong`` gives a version that the next load of the day corrects."""
+    key, segment, nation = F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_nationkey")
+    there = [key % 10 != 9, key % 13 != 5, F.lit(True)][turn]
+    if turn == 1:
+        segment = F.when(key % 4 != 0, segment).otherwise("MOVED")
+    if turn > 0:
+        nation = F.when(key % 6 == 0, (nation + 1) % 25).otherwise(nation)
+    if wrong:
+        segment = F.when(key % 7 == 0, "WRONG").otherwise(segment)
+    return retail_table(spark, folder, "customer").where(there).select(
+        key.alias("CustomerID"), segment.alias("Segment"), nation.cast("int").alias("NationID")
+    )
+
+
+def _customer_versions(spark: SparkSession, folder: str, mistake: bool = True) -> DataFrame:
+    """Three snapshots; the second is loaded twice, the third corrects a mistaken one of its day."""
+    held = None
+    for turn, wrong in ((0, False), (1, False), (1, False), (2, mistake), (2, False)):
+        held = merge_versions(
+            held, _customers_on(spark, folder, turn, wrong), ["CustomerID"], SNAPSHOT_DAYS[turn],
+            "CustomerVersionKey", close_missing=True,
+        )
+    return held
+
+
+@query
+def customer_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every version of every customer with the days on which it held."""
+    return _customer_versions(spark, folder).select(
+        "CustomerID", "Segment", "NationID", "ValidFrom", "ValidTo"
+    )
+
+
+@query
+def customer_version_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of versions are unique, without gaps, and ascend with the day of their load."""
+    versions = _customer_versions(spark, folder, mistake=False)
+    return versions.groupBy("ValidFrom").agg(
+        F.count("*").alias("Versions"), F.countDistinct("CustomerVersionKey").alias("Keys"),
+        F.min("CustomerVersionKey").alias("LowKey"), F.max("CustomerVersionKey").alias("HighKey"),
+    )
+
+
+_VERSIONS = """days(turn, day) AS (VALUES (0, DATE '1996-01-01'), (1, DATE '1997-06-01'), (2, DATE '1999-01-01')),
+states AS (
+    SELECT c_custkey AS k, turn, day,
+        CASE turn WHEN 0 THEN c_custkey % 10 <> 9 WHEN 1 THEN c_custkey % 13 <> 5 ELSE true END AS there,
+        CASE WHEN turn = 1 AND c_custkey % 4 = 0 THEN 'MOVED' ELSE c_mktsegment END AS segment,
+        CASE WHEN turn > 0 AND c_custkey % 6 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS nation
+    FROM customer CROSS JOIN days),
+compared AS (
+    SELECT *, there AND coalesce(NOT lag(there) OVER w OR lag(segment) OVER w <> segment
+        OR lag(nation) OVER w <> nation, true) AS opens
+    FROM states WINDOW w AS (PARTITION BY k ORDER BY turn)),
+runs AS (SELECT *, sum(opens::INTEGER) OVER (PARTITION BY k ORDER BY turn) AS run FROM compared),
+versions AS (
+    SELECT k AS "CustomerID", min(segment) AS "Segment", min(nation)::INTEGER AS "NationID",
+        CASE WHEN min(turn) > 0 THEN min(day) END AS "ValidFrom",
+        (SELECT day - 1 FROM days WHERE turn = max(runs.turn) + 1) AS "ValidTo", min(turn) AS turn
+    FROM runs WHERE there GROUP BY k, run)"""
+SQL["customer_versions"] = f"""
+WITH {_VERSIONS} SELECT "CustomerID", "Segment", "NationID", "ValidFrom", "ValidTo" FROM versions
+"""
+SQL["customer_version_keys"] = f"""
+WITH {_VERSIONS}, counted AS (SELECT "ValidFrom", turn, count(*) AS n FROM versions GROUP BY ALL),
+summed AS (SELECT *, sum(n) OVER (ORDER BY turn) AS high FROM counted)
+SELECT "ValidFrom", n AS "Versions", n AS "Keys", (high - n + 1)::BIGINT AS "LowKey", high::BIGINT AS "HighKey"
+FROM summed
+"""
+
+
+@query
+def sales_by_segment_then(spark: SparkSession, folder: str) -> DataFrame:
+    """Order totals by the segment that the customer was in on the day of the order."""
+    orders = retail_table(spark, folder, "orders").select(
+        F.col("o_custkey").alias("CustomerID"), F.to_date("o_orderdate").alias("OrderDate"),
+        F.col("o_totalprice").cast("decimal(15,2)").alias("Total"),
+    )
+    versions = _customer_versions(spark, folder)
+    then = version_at(orders, versions, ["CustomerID"], "OrderDate", ["Segment"])
+    return then.groupBy("Segment").agg(
+        F.count("*").alias("Orders"), F.sum("Total").cast("decimal(29,4)").alias("Total")
+    )
+
+
+SQL["sales_by_segment_then"] = f"""
+WITH {_VERSIONS}
+SELECT "Segment", count(*) AS "Orders", sum(o_totalprice::DECIMAL(15,2))::DECIMAL(29,4) AS "Total"
+FROM orders LEFT JOIN versions ON o_custkey = "CustomerID"
+    AND o_orderdate::DATE >= coalesce("ValidFrom", DATE '0001-01-01')
+    AND o_orderdate::DATE <= coalesce("ValidTo", DATE '9999-12-31')
+GROUP BY "Segment"
+"""
+
+
+def _atomic(model: str, spark: SparkSession, folder: str) -> DataFrame:
+    """Customers of odd ids loaded, a load of all that dies between the fact and its key map, a load
+    of all, and the same again: rows of each table as the store then has them."""
+    source, store = retail_source(spark, folder), AtomicStore(new_path(spark, f"atomic_{model}"))
+
+    def half(name: str) -> DataFrame:
+        df = source(name)
+        return df.where("CustomerID % 2 = 1") if name == "Customer" else df
+
+    def load(tables) -> None:
+        run_warehouse(tables, store.begin(spark), model, mode="append", ids="bigint")
+
+    load(half)
+    dying = store.begin(spark)
+    for name in (FACT, "DimCustomer"):
+        dying(name, store.read(spark, name), "append")
+    load(source)
+    load(source)
+    star = {name: store.read(spark, name) for name in (*DIMENSIONS, FACT)}
+    return audit_summary(star).withColumnsRenamed({"Rule": "TableName", "Findings": "Rows"})
+
+
+for _model in ("wide", "narrow"):
+    QUERIES[f"atomic_loads_{_model}"] = partial(_atomic, _model)
+    SQL[f"atomic_loads_{_model}"] = retail_oracle.SQL[f"load_twice_same_rows_{_model}"]

@@ -55,3 +55,16 @@ def with_carry(
     # written: its true size tells whether it is broadcast
     carried = settle(carried, "carries")
     return placed.join(carried, same([*keys, RANGE], [*names, "_r"])).drop(*names, "_r")
+
+
+def numbered(placed: DataFrame, name: str, after: int = 0) -> DataFrame:
+    """Rows of ``in_ranges`` with column ``name``: after + 1, after + 2 and so on in their order.
+    Only the ranges' sizes are put in order together."""
+    sizes = placed.groupBy(F.col(RANGE).alias("_r")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(PLACE).alias("_first")
+    )
+    earlier = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = settle(sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))), "sizes")
+    rows = placed.join(sizes, F.col(RANGE) == F.col("_r"))
+    number = F.col(PLACE) - F.col("_first") + F.col("_before") + (after + 1)
+    return rows.withColumn(name, number).drop("_r", "_n", "_first", "_before", RANGE, PLACE)

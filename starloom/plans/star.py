@@ -210,7 +210,9 @@ def run_warehouse(
 
     ``keys``, or else the sink's own key map, lets a star grow: appending gives known source rows
     the keys they had, new ones the next numbers, and loads each order line once, so that loading
-    the same source again adds nothing. Attributes of known rows stay as first loaded.
+    the same source again adds nothing. Attributes of known rows stay as first loaded; their
+    versions are what ``operators.versions`` keeps. A load of an ``AtomicStore`` is published after its
+    last table, with its key map, so that a run that dies leaves nothing behind.
     ``reject_sink`` gets, by table, the lines whose measures do not fit."""
     keys = keys or getattr(sink, "keys", None)
     keys = keys if isinstance(keys, KeyMap) else None
@@ -228,6 +230,8 @@ def run_warehouse(
     load_star(star, sink, mode, getattr(sink, "keep_tables", False))
     if keys is not None:
         keys.write(FACT, lines.select(*line_columns(model)).distinct(), mode)
+    if publish := getattr(sink, "publish", None):
+        publish()
     if reject_sink is not None:
         reject_sink(FACT, rejected_lines(source("SalesOrderDetail"), model, ids))
     if read_back is not None:

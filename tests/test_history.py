@@ -8,6 +8,8 @@ import pytest
 from history_queries import QUERIES, SQL
 from pyspark.sql import functions as F
 from starloom.operators.intervals import empty_spans, interval_join, merged_spans, span_gaps, span_overlaps
+from starloom.operators.versions import merge_versions, version_at
+from starloom.staging import settle
 from test_oracle import FOLDER, duck, kind, rows  # noqa: F401
 
 
@@ -156,3 +158,89 @@ def test_times_and_numbers_are_spans_too(spark):
     assert times == {(1, at, None, 2), (2, at, at, 1)}
     numbers = {(r.k, r.c, r.d, r.Rows) for r in merged_spans(df, ["k"], ("c", "d")).collect()}
     assert numbers == {(1, 1, None, 2), (2, 7, 7, 1)}
+
+
+# versions -------------------------------------------------------------------------------------
+
+
+def snapshot_of(spark, rows):
+    return spark.createDataFrame(rows, "id int, name string, city string")
+
+
+def merged(held, df, n, **options):
+    return merge_versions(held, df, ["id"], day(n), "no", **options)
+
+
+def table(df):
+    return sorted((r.no, r.id, r.name, r.city, r.ValidFrom and (r.ValidFrom - DAY).days, r.ValidTo and (r.ValidTo - DAY).days) for r in df.collect())
+
+
+def test_versions_open_close_and_come_back(spark):
+    first = merged(None, snapshot_of(spark, [(1, "a", "x"), (2, "b", None), (None, "n", "")]), 0)
+    assert table(first) == [(1, None, "n", "", None, None), (2, 1, "a", "x", None, None), (3, 2, "b", None, None, None)]
+    # 2 gets an empty city for none, 3 is new, the null key goes
+    second = snapshot_of(spark, [(1, "a", "x"), (2, "b", ""), (3, "c", "z")])
+    held = merged(first, second, 10, close_missing=True)
+    want = [
+        (1, None, "n", "", None, 9), (2, 1, "a", "x", None, None), (3, 2, "b", None, None, 9),
+        (4, 2, "b", "", 10, None), (5, 3, "c", "z", 10, None),
+    ]
+    assert table(held) == want
+    assert table(merged(held, second, 10, close_missing=True)) == want
+    assert table(merged(held, second, 11, close_missing=True)) == want
+    # on the same day: a correction keeps its number, a new row that goes again was never there
+    again = merged(held, snapshot_of(spark, [(1, "a", "x"), (2, "B", "")]), 10, close_missing=True)
+    assert table(again) == [*want[:3], (4, 2, "B", "", 10, None)]
+    # the values of the day before come again: the version that was closed for them is open again
+    undone = merged(held, snapshot_of(spark, [(None, "n", ""), (1, "a", "x"), (2, "b", None)]), 10, close_missing=True)
+    assert table(undone) == table(first)
+    # what is not in the snapshot stays, unless missing keys are closed; closed keys come back
+    back = merged(held, snapshot_of(spark, [(None, "n", "")]), 20)
+    assert table(back) == [*want, (6, None, "n", "", 20, None)]
+
+
+def test_versions_refuse_what_would_be_wrong(spark):
+    held = merged(None, snapshot_of(spark, [(1, "a", "x")]), 0, since=day(5))
+    with pytest.raises(ValueError, match="order of their days"):
+        merged(held, snapshot_of(spark, [(1, "b", "x")]), 4)
+    with pytest.raises(Exception, match="occurs twice"):
+        merged(held, snapshot_of(spark, [(1, "b", "x"), (1, "c", "x")]), 9)
+    with pytest.raises(ValueError, match="ValidTo"):
+        merged(held, snapshot_of(spark, [(1, "b", "x")]).withColumn("ValidTo", F.lit(1)), 9)
+    assert merged(held, snapshot_of(spark, []), 9).count() == 1
+    assert merged(None, snapshot_of(spark, []), 9).count() == 0
+
+
+@pytest.mark.parametrize("seed", [8, 9])
+def test_random_snapshots_read_back_at_every_day(spark, seed):
+    """Whatever was in a snapshot is what ``version_at`` gives until the next one."""
+    rng, held, taken = random.Random(seed), None, {}
+    for n in (0, 10, 20, 30):
+        rows = [(k, rng.choice("ab"), rng.choice(["x", "", None])) for k in range(60) if rng.random() < 0.8]
+        held, taken[n] = merged(held, snapshot_of(spark, rows), n, since=day(0), close_missing=True), dict((r[0], r[1:]) for r in rows)
+    facts = spark.createDataFrame([(k, day(n + d)) for k in range(60) for n in taken for d in (0, 9)], "id int, at date")
+    for how in ("left", "inner"):
+        out = version_at(facts, held, ["id"], "at", ["name", "city", "no"], how).collect()
+        seen = {(r.id, r.at): (r.name, r.city) for r in out if r.no is not None}
+        assert seen == {(k, day(n + d)): v for n, rows in taken.items() for k, v in rows.items() for d in (0, 9)}
+        assert len(out) == (480 if how == "left" else len(seen))
+    numbers = [r.no for r in held.collect()]
+    assert sorted(numbers) == list(range(1, len(numbers) + 1))
+
+
+def test_versions_are_shuffled_once(spark, monkeypatch):
+    """Closed versions are read, not shuffled; there is no join."""
+    from starloom.operators import versions
+
+    plans = []
+    monkeypatch.setattr(versions, "settle", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or settle(df, name))
+    held = merged(None, snapshot_of(spark, [(k, "a", "x") for k in range(50)]), 0)
+    plans.clear()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        merged(held, snapshot_of(spark, [(k, "b", "x") for k in range(50)]), 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_name = dict(plans)
+    assert by_name["merged_versions"].count("Exchange hashpartitioning") == 1
+    assert "Join" not in by_name["merged_versions"]

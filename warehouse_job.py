@@ -18,7 +18,7 @@ from starloom.operators.shape import inspect
 from starloom.plans.schemas import FACT, PRIMARY_KEYS
 from starloom.plans.star import Source, run_warehouse, staged
 from starloom.settings import cluster_conf
-from starloom.sinks import JdbcSink, ParquetSink, write_csv, write_parquet
+from starloom.sinks import AtomicStore, JdbcSink, ParquetSink, write_csv, write_parquet
 from starloom.sinks.keymap import KeyMap
 from starloom.sources.jdbc import SOURCE_TABLES, connection, jdbc_source
 from starloom.sources.retail import retail_source
@@ -38,10 +38,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--cores", type=int, default=64, help="executor cores in all")
     parser.add_argument("--input-gb", type=float, default=0, help="size of the source tables")
     parser.add_argument("--partition-by", nargs="*", choices=["Year", "Month"], default=[])
+    parser.add_argument("--atomic", action="store_true", help="build: all tables appear at once")
     parser.add_argument("--keep-tables", action="store_true", help="empty instead of drop")
     args = parser.parse_args(argv)
     if args.job != "preview" and not args.out:
         parser.error(f"{args.job} needs --out")
+    if args.atomic and (args.job != "build" or args.partition_by):
+        parser.error("--atomic is for a build without --partition-by")
     return args
 
 
@@ -56,17 +59,20 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             print(name)
             inspect(source(name), args.rows)
         return
-    if args.job == "build":
+    keys: KeyMap | None = KeyMap(f"{args.out}/{args.model}/_keys")
+    if args.job == "build" and args.atomic:
+        sink, keys = AtomicStore(f"{args.out}/{args.model}").begin(spark), None  # it has its own
+    elif args.job == "build":
         sink = ParquetSink(f"{args.out}/{args.model}", partition_by=args.partition_by)
     else:
-        keys = PRIMARY_KEYS
+        primary = PRIMARY_KEYS
         if args.model == "wide":
-            keys = {**keys, FACT: ["SalesOrderID", "SalesOrderDetailID"]}
+            primary = {**primary, FACT: ["SalesOrderID", "SalesOrderDetailID"]}
         else:  # lines of the narrow fact have no key of their own: the key map tells new ones
-            keys = {name: key for name, key in keys.items() if name != FACT}
+            primary = {name: key for name, key in primary.items() if name != FACT}
         url, properties = connection("TARGET")
         sink = JdbcSink(
-            url, properties, keys, connections=args.connections, keep_tables=args.keep_tables
+            url, properties, primary, connections=args.connections, keep_tables=args.keep_tables
         )
     run_warehouse(
         source if args.tables else staged(source),
@@ -75,7 +81,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         lambda name, df: write_csv(df, f"{args.out}/aggregations/{name}"),
         args.mode,
         args.ids,
-        KeyMap(f"{args.out}/{args.model}/_keys"),
+        keys,
         lambda name, df: write_parquet(df, f"{args.out}/rejects/{name}"),
     )
 
