@@ -18,6 +18,7 @@ from starloom.operators.audit import audit_summary
 from starloom.operators.intervals import interval_join, merged_spans, span_gaps, span_overlaps
 from starloom.operators.skew import hot_keys
 from starloom.operators.versions import merge_versions, version_at
+from starloom.plans.increments import KeptReports
 from starloom.plans.schemas import DIMENSIONS, FACT
 from starloom.plans.star import run_warehouse
 from starloom.sinks import AtomicStore
@@ -359,3 +360,36 @@ def _atomic(model: str, spark: SparkSession, folder: str) -> DataFrame:
 for _model in ("wide", "narrow"):
     QUERIES[f"atomic_loads_{_model}"] = partial(_atomic, _model)
     SQL[f"atomic_loads_{_model}"] = retail_oracle.SQL[f"load_twice_same_rows_{_model}"]
+
+
+def _kept(model: str, spark: SparkSession, folder: str) -> DataFrame:
+    """Reports read from the sums of each load: customers of odd ids, all customers, all again, the
+    second load withdrawn and loaded anew, then the sums compacted."""
+    source, store, kept = retail_source(spark, folder), AtomicStore(new_path(spark, f"kept_{model}")), KeptReports(model)
+
+    def half(name: str) -> DataFrame:
+        df = source(name)
+        return df.where("CustomerID % 2 = 1") if name == "Customer" else df
+
+    names = []
+    for tables in (half, source, source, None, source):
+        load = store.begin(spark)
+        if tables is None:
+            kept.withdraw(load, names[1])
+            load.publish()
+            continue
+        run_warehouse(tables, load, model, mode="append", ids="bigint", kept=kept)
+        names.append(load.name)
+    load = store.begin(spark)
+    kept.compact(load)
+    load.publish()
+    out = []
+    for name, df in kept.reports(store, spark).items():
+        value, total = df.columns
+        out.append(df.select(F.lit(name).alias("Report"), F.col(value).cast("string").alias("Value"), total))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+for _model in ("wide", "narrow"):
+    QUERIES[f"kept_reports_{_model}"] = partial(_kept, _model)
+    SQL[f"kept_reports_{_model}"] = retail_oracle.SQL[f"warehouse_run_{_model}"]

@@ -24,8 +24,10 @@ from starloom.plans.dims import (
     dim_product_wide,
 )
 from starloom.plans.facts import LINE_KEYS, fact_narrow, fact_wide
+from starloom.plans.increments import KeptReports
 from starloom.plans.rejects import rejected_lines
 from starloom.plans.schemas import DIMENSIONS, FACT, PRIMARY_KEYS, table_schema
+from starloom.sinks.atomic import Load
 from starloom.sinks.keymap import KeyMap
 from starloom.sinks.star import Sink, load_star
 from starloom.staging import settle
@@ -204,6 +206,7 @@ def run_warehouse(
     ids: str = "int",
     keys: KeyMap | None = None,
     reject_sink: Callable[[str, DataFrame], None] | None = None,
+    kept: KeptReports | None = None,
 ) -> dict[str, DataFrame]:
     """Read, build, load, report; returns the star. The reports read what the sink has written
     where it can be read back; else the fact is staged, so that it is computed once.
@@ -212,10 +215,13 @@ def run_warehouse(
     the keys they had, new ones the next numbers, and loads each order line once, so that loading
     the same source again adds nothing. Attributes of known rows stay as first loaded; their
     versions are what ``operators.versions`` keeps. A load of an ``AtomicStore`` is published after its
-    last table, with its key map, so that a run that dies leaves nothing behind.
+    last table, with its key map, so that a run that dies leaves nothing behind; ``kept`` adds the
+    sums of its lines to it, and the reports are then read from the sums of all loads.
     ``reject_sink`` gets, by table, the lines whose measures do not fit."""
     keys = keys or getattr(sink, "keys", None)
     keys = keys if isinstance(keys, KeyMap) else None
+    if kept is not None and not isinstance(sink, Load):
+        raise ValueError("kept reports need a load of an AtomicStore")
     if mode == "append" and keys is None:
         raise ValueError("appending needs a key map: rows would be loaded again under new keys")
     read_back = getattr(sink, "read", None)
@@ -230,6 +236,8 @@ def run_warehouse(
     load_star(star, sink, mode, getattr(sink, "keep_tables", False))
     if keys is not None:
         keys.write(FACT, lines.select(*line_columns(model)).distinct(), mode)
+    if kept is not None:
+        kept.add(sink, star[FACT], mode)
     if publish := getattr(sink, "publish", None):
         publish()
     if reject_sink is not None:
@@ -237,6 +245,8 @@ def run_warehouse(
     if read_back is not None:
         star = {name: read_back(df.sparkSession, name) for name, df in star.items()}
     if report_sink is not None:
-        for name, df in reports(star, model).items():
+        spark = star[FACT].sparkSession
+        found = kept.reports(sink.store, spark) if kept is not None else reports(star, model)
+        for name, df in found.items():
             report_sink(name, df)
     return star

@@ -4,7 +4,8 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from starloom.plans.star import run_warehouse
+from starloom.plans.increments import KeptReports
+from starloom.plans.star import reports, run_warehouse
 from starloom.sinks import AtomicStore, atomic
 from starloom.sinks.files import write_parquet
 from starloom.sources.retail import retail_source
@@ -146,3 +147,53 @@ def test_job_builds_into_the_store(spark, tmp_path):
     assert AtomicStore(f"{tmp_path}/narrow").read(spark, "FactCustomSales").count() > 0
     with pytest.raises(SystemExit):
         arguments(["load", "--tables", FOLDER, "--out", str(tmp_path), "--atomic"])
+
+
+def totals(reports):
+    return {name: {tuple(r) for r in df.collect()} for name, df in reports.items()}
+
+
+def test_kept_reports_follow_every_load(spark, tmp_path):
+    """After each step the sums give what the whole fact gives: appends, a repeat, a withdrawn load, its
+    second coming, a withdrawal after compaction."""
+    source, model = retail_source(spark, FOLDER), "narrow"
+    store, kept = AtomicStore(f"{tmp_path}/s"), KeptReports(model)
+
+    def half(name):
+        df = source(name)
+        return df.where("CustomerID % 2 = 1") if name == "Customer" else df
+
+    def check():
+        star = {n: store.read(spark, n) for n in ("DimProduct", "DimGeography", "DimDate", "FactCustomSales")}
+        assert totals(kept.reports(store, spark)) == totals(reports(star, model))
+        return star["FactCustomSales"].count()
+
+    def load(tables):
+        one, published = store.begin(spark), {}
+        run_warehouse(tables, one, model, published.__setitem__, "append", "bigint", kept=kept)
+        assert totals(published) == totals(kept.reports(store, spark))
+        return one.name
+
+    def change(act, *args):
+        one = store.begin(spark)
+        act(one, *args)
+        one.publish()
+
+    first, some = load(half), check()
+    second, whole = load(source), check()
+    assert 0 < some < whole
+    load(source)
+    assert check() == whole
+    change(kept.withdraw, second)
+    assert check() == some
+    third = load(source)
+    assert check() == whole
+    change(kept.compact)
+    assert check() == whole and len(store.manifest(spark).tables["sums_DateKey"]) == 1
+    change(kept.withdraw, third)
+    assert check() == some
+    assert {r.Load for r in kept.lines(store, spark).where("Lines > 0").collect()} == {first}
+    with pytest.raises(ValueError):
+        kept.withdraw(store.begin(spark), third)
+    with pytest.raises(ValueError):
+        run_warehouse(source, lambda *a: None, model, kept=kept)
