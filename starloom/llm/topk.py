@@ -15,24 +15,28 @@ from starloom.staging import settle
 
 #: Vectors in a block, and bins of a histogram round.
 BLOCK, BINS = 1024, 1024
+#: Scores beyond count as this much; so do scaled components, whose products are told apart below it.
+LARGEST = 1 << 61
 _BLOCKS = "block bigint, dim int, ids binary, numbers binary, top bigint, square double"
 
 
 def _blocks(vectors: DataFrame, scale: float) -> DataFrame:
-    """Rows of up to BLOCK vectors of one length: ids and floor(scale * component) as bytes."""
+    """Rows of up to BLOCK vectors of one length: ids and floor(scale * component) as bytes, of 4 bytes
+    a number where all of a block fit, else of 8."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype("<i8")
             for rows, matrix in by_length(batch.column(1)):
-                scaled = np.floor(scale * matrix.astype(np.float64))
-                if scaled.size and np.abs(scaled).max() >= 2.0**31:
-                    raise OverflowError("a scaled component does not fit 32 bits")
-                scaled = scaled.astype("<i4")
+                with np.errstate(over="ignore"):
+                    scaled = np.floor(scale * matrix.astype(np.float64))
+                scaled = np.clip(scaled, -float(LARGEST), float(LARGEST)).astype("<i8")
                 for a in range(0, len(rows), BLOCK):
                     part = scaled[a : a + BLOCK]
-                    top = int(np.abs(part.astype(np.int64)).max(initial=0))
+                    top = int(np.abs(part).max(initial=0))
+                    if top < 1 << 31:
+                        part = part.astype("<i4")
                     yield pa.RecordBatch.from_pydict(
                         {
                             "block": pa.array([made], pa.int64()),
@@ -48,18 +52,31 @@ def _blocks(vectors: DataFrame, scale: float) -> DataFrame:
     return settle(vectors.mapInArrow(run, _BLOCKS), "vector_blocks")
 
 
+def _numbers(raw: bytes, rows: int, dim: int) -> np.ndarray:
+    return np.frombuffer(raw, "<i4" if len(raw) == 4 * rows * dim else "<i8").reshape(rows, dim)
+
+
+def _exact(scores: np.ndarray, q: np.ndarray, c: np.ndarray) -> None:
+    """Sets the scores whose sums may not fit 64 bits, in whole numbers of any size, cut at LARGEST."""
+    q_top = np.abs(q).max(axis=1).astype(np.float64)
+    c_top = np.abs(c).max(axis=1).astype(np.float64)
+    for i in np.flatnonzero(q_top * c_top.max() * q.shape[1] >= LARGEST / 2):
+        at = np.flatnonzero(q_top[i] * c_top * q.shape[1] >= LARGEST / 2)
+        sums = c[at].astype(object) @ q[i].astype(object)
+        scores[i, at] = [min(max(int(x), -LARGEST), LARGEST) for x in sums]
+
+
 def _scores(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query ids, candidate ids and their scores, exact; a query's own id is masked."""
     q_ids, c_ids = np.frombuffer(row["q_ids"], "<i8"), np.frombuffer(row["ids"], "<i8")
-    q = np.frombuffer(row["q_numbers"], "<i4").reshape(len(q_ids), -1)
-    c = np.frombuffer(row["numbers"], "<i4").reshape(len(c_ids), -1)
+    q, c = _numbers(row["q_numbers"], len(q_ids), row["dim"]), _numbers(row["numbers"], len(c_ids), row["dim"])
     largest = int(row["top"]) * int(row["q_top"]) * row["dim"]
     if largest < 2**53:
         scores = (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64)
-    elif largest < 2**62:
-        scores = q.astype(np.int64) @ c.T.astype(np.int64)
     else:
-        raise OverflowError("a score does not fit 64 bits")
+        scores = q.astype(np.int64) @ c.T.astype(np.int64)
+        if largest >= LARGEST:
+            _exact(scores, q, c)
     return q_ids, c_ids, np.where(q_ids[:, None] == c_ids, np.iinfo(np.int64).min, scores)
 
 
@@ -84,7 +101,8 @@ def top_k(
     ``is_query`` holds; candidates are all rows of the same length but those of the query's own
     id. Ties go to the smaller vec_id; a query with fewer candidates gets them all. Rows with a
     null id, or a vector that is null, empty, or has null or non-finite components take no part.
-    Repeated rows are candidates each; an empty table, or no query, gives no rows.
+    Repeated rows are candidates each; an empty table, or no query, gives no rows. Scores are exact up
+    to 2**61 either way; larger ones count as 2**61 and are ties.
 
     Every round scores all candidates in blocks and sums, per query, a histogram of the scores
     in question; the bin in which the kth score lies is the next round's range, until a bin is
@@ -100,7 +118,8 @@ def top_k(
     candidates = _blocks(rows.select("vec_id", "embedding"), scale)
     queries = _blocks(rows.where("asks").select("vec_id", "embedding"), scale)
     # no score is larger than the largest squared length
-    bound = int((candidates.agg(F.max("square")).first()[0] or 0) * (1 + 1e-9)) + 1
+    bound = candidates.agg(F.max("square")).first()[0] or 0
+    bound = min(int(bound * (1 + 1e-9)) + 1, LARGEST)
     slots = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = candidates.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)))
     asked = queries.select(
