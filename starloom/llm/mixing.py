@@ -195,25 +195,29 @@ def mixed(
     cap: float = 2.0,
     seed: str = "mix",
 ) -> DataFrame:
-    """The mix itself: rows of ``docs`` with all their columns, each as often as it is taken."""
+    """The mix itself: rows of ``docs`` with all their columns, each as often as it is taken.
+
+    Columns may have any name, those that are used inside as well.
+    """
     sized = docs.select(
         "source", word_count(F.col("text")).alias("size"),
         document_hash(F.col("doc_id"), seed).alias("hash"),
     )
     chosen = plan(settle(sized, "mix_sized"), weights, share, cap)
+    # names that no column of the documents has
+    own = "_mix"
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
     chosen = chosen.select(
-        F.col("no_source").alias("_mix_none"), F.col("source_key").alias("_mix_source"),
-        F.col("epochs").alias("_mix_epochs"), F.col("threshold").alias("_mix_threshold"),
+        F.col("no_source").alias(f"{own}none"), F.col("source_key").alias(f"{own}key"),
+        F.col("epochs").alias(f"{own}epochs"), F.col("threshold").alias(f"{own}threshold"),
     )
-    same = (F.col("source").isNull() == F.col("_mix_none")) & (
-        F.coalesce("source", F.lit("")) == F.col("_mix_source")
+    same = (F.col("source").isNull() == F.col(f"{own}none")) & (
+        F.coalesce("source", F.lit("")) == F.col(f"{own}key")
     )
-    copies = F.col("_mix_epochs") + (
-        document_hash(F.col("doc_id"), seed) < F.col("_mix_threshold")
+    copies = F.col(f"{own}epochs") + (
+        document_hash(F.col("doc_id"), seed) < F.col(f"{own}threshold")
     ).cast("long")
     copies = F.when(copies > 0, F.sequence(F.lit(1).cast("long"), copies))
-    return (
-        docs.join(chosen, same)
-        .withColumn("_mix_copy", F.explode(copies))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
-    )
+    quoted = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    return docs.join(chosen, same).withColumn(f"{own}copy", F.explode(copies)).select(*quoted)
