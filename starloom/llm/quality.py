@@ -7,16 +7,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from starloom.llm import text as tx
+from starloom.staging import settle
 
 #: Buckets of hashed n-grams, bytes of the character n-grams, words of the shape n-grams.
 BUCKETS, BYTE_GRAMS, SHAPE_GRAMS = 1 << 17, (3, 5), (1, 2, 3)
-#: At most so many labelled documents are fitted on, those of the smallest hash of their id.
-MAX_TRAINING_ROWS = 4_000
+#: At most so many labelled documents are fitted on, those of the smallest hash of their id, and at most
+#: so many buckets of theirs, four bytes each on the driver; the row that would go beyond is the first left out.
+MAX_TRAINING_ROWS, MAX_TRAINING_BUCKETS = 4_000, 32_000_000
 
 _KIND = np.zeros(256, np.uint8)  # 0 other sign, 1 lower or not ASCII, 2 upper, 3 digit
 _KIND[ord("a") : ord("z") + 1] = 1
@@ -196,13 +198,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAINING_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    max_rows: int = MAX_TRAINING_ROWS,
+    max_buckets: int = MAX_TRAINING_BUCKETS,
 ) -> Model:
-    """Fits on at most ``max_rows`` labelled documents that are not held out.
+    """Fits on at most ``max_rows`` labelled documents that are not held out, and on at most
+    ``max_buckets`` buckets of theirs in all: the driver holds no more than that, whatever texts
+    there are and however often an id occurs.
 
     The rows of smallest id hash are taken, so the sample does not depend on partitions. Labels
     other than 0 and 1, null ids and null labels are left out; a document with several
-    label rows counts as often.
+    label rows counts as often. Of several documents of one id the least text counts, once.
     """
     usable = F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     chosen = (
@@ -211,24 +218,31 @@ def train(
         .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
         .limit(max_rows)
     )
+    chosen = settle(chosen, "training_labels")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in tx.chunks(batch.column(2)):
-                found = features(batch.column(2).slice(a, b - a))
-                found = [np.unique(x).astype("<u4").tobytes() for x in found]
+            for a, b in tx.chunks(batch.column(1)):
+                found = [np.unique(x).astype("<u4") for x in features(batch.column(1).slice(a, b - a))]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).slice(a, b - a) for k in (0, 1)), pa.array(found, pa.binary())],
-                    names=["doc_id", "quality", "found"],
-                )
-
-    # the sample is bounded by max_rows, so it may be broadcast and its features collected
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = (
-        sample.select("doc_id", "quality", "text")
-        .mapInArrow(run, "doc_id bigint, quality int, found binary")
-        .collect()
-    )
+                    [
+                        batch.column(0).slice(a, b - a), pa.array([x.tobytes() for x in found], pa.binary()),
+                        pa.array([len(x) for x in found], pa.int64()),
+                    ],
+                    names=["doc_id", "found", "n"],
+                )
+
+    # the ids are bounded by max_rows, so they may be broadcast
+    ids = chosen.select("doc_id").distinct()
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"))
+    sample = settle(sample.mapInArrow(run, "doc_id bigint, found binary, n bigint"), "training_rows")
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
+    # one number a row here, for max_rows rows
+    sizes = sample.select("doc_id", "n").join(chosen, "doc_id")
+    sizes = sizes.withColumn("total", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    taken = sizes.where(F.col("total") <= max_buckets).select("doc_id", "quality")
+    rows = sample.join(taken, "doc_id").select("doc_id", "quality", "found").collect()
     rows.sort(key=lambda r: (r[0], r[1], r[2]))
     return fit(
         [np.frombuffer(r[2], "<u4") for r in rows], np.array([r[1] for r in rows], np.int64)

@@ -2,6 +2,7 @@
 the whole small tables."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -559,6 +560,94 @@ def test_quality_edges(spark, edge, nothing, folder, docs):
     assert quality.train(edge, one).score(np.array([3]), np.zeros(quality.BUCKETS, bool)) > 0.5
 
 
+def test_training_is_bounded_in_rows_and_bytes(spark, monkeypatch):
+    """Copies of an id count once, and what is collected ends before the bound is passed."""
+    taken = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels: taken.append([len(r) for r in rows]))
+    docs = [(k, f"text number {k} " + passage(k, 30)) for k in range(40)] + [(7, "a " * 9)] * 500 + [(8, None)] * 3
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    labels = docs.select("doc_id", F.lit(1).alias("quality")).distinct()
+    quality.train(docs, labels, max_rows=20)
+    quality.train(docs, labels, max_buckets=4000)
+    quality.train(docs, labels.union(labels), max_buckets=10**9)
+    out = zlib.crc32
+    usable = sum(out(str(k).encode()) % 4 != 2 for k in range(40))
+    assert len(taken[0]) == 20 and sum(taken[1]) <= 4000 < sum(taken[2]) and len(taken[2]) == 2 * usable
+
+
+def brute_fit(rows, labels, c, epochs):
+    """Ratios from dicts, and the dual solved one coordinate at a time in plain Python, until it stands."""
+    good, bad = Counter(), Counter()
+    for found, y in zip(rows, labels):
+        (good if y else bad).update(found.tolist())
+    total = [sum(x.values()) + quality.BUCKETS for x in (good, bad)]
+    ratio = {
+        b: math.log((good[b] + 1) / total[0]) - math.log((bad[b] + 1) / total[1]) for b in {*good, *bad}
+    }
+    units = []
+    for found in rows:
+        v = {b: ratio[b] for b in found.tolist()}
+        size = math.sqrt(sum(x * x for x in v.values())) or 1
+        units.append({b: x / size for b, x in v.items()})
+    w, bias, alpha = defaultdict(float), 0.0, [0.0] * len(rows)
+    for _ in range(epochs):
+        for i, (v, y) in enumerate(zip(units, labels)):
+            sign = 1 if y else -1
+            slack = 1 - sign * (sum(w[b] * x for b, x in v.items()) + bias)
+            new = min(max(alpha[i] + slack / (sum(x * x for x in v.values()) + 1), 0), c)
+            step = (new - alpha[i]) * sign
+            alpha[i] = new
+            bias += step
+            for b, x in v.items():
+                w[b] += step * x
+    return ratio, units, w, bias, alpha
+
+
+def test_ratios_and_dual_solution_against_brute_force():
+    rng = random.Random(11)
+    labels = np.array([rng.random() < 0.5 for _ in range(90)], np.int64)
+    rows = []
+    for y in labels:
+        some = {rng.randrange(60 if y else 40, 120 if y else 100) for _ in range(12)}
+        rows.append(np.array(sorted(some), np.uint32))
+    ratio, units, w, bias, alpha = brute_fit(rows, labels, 1.0, 400)
+    signs = np.where(labels == 1, 1.0, -1.0)
+
+    def primal(weights, b):
+        square = sum(x * x for x in weights.values()) + b * b
+        margins = [s * (sum(weights[k] * x for k, x in v.items()) + b) for s, v in zip(signs, units)]
+        return square / 2 + sum(max(0.0, 1 - m) for m in margins)
+
+    square = sum(x * x for x in w.values()) + bias * bias
+    dual = sum(alpha) - square / 2
+    assert primal(w, bias) - dual < 1e-3 * dual  # the brute solution is the optimum
+    values = [np.array([v[b] for b in found.tolist()], np.float32) for v, found in zip(units, rows)]
+    got, b = quality._descend(rows, values, signs, 1.0, 200)
+    found = defaultdict(float, {k: got[k] for k in ratio})
+    # the descent stops where no step changes a dual value by 0.02
+    assert primal(found, b) < primal(w, bias) * 1.02
+    model = quality.fit(rows, labels, epochs=200)
+    for k, r in ratio.items():
+        assert model.square[k] == pytest.approx(r * r, rel=1e-4, abs=1e-9)
+    seen = np.zeros(quality.BUCKETS, bool)
+    scores = [model.score(x, seen) for x in rows]
+    margins = [sum(w[k] * x for k, x in v.items()) + bias for v in units]
+    order = lambda xs: np.argsort(np.argsort(xs))
+    assert np.corrcoef(order(scores), order(margins))[0, 1] > 0.99
+    assert not seen.any()
+
+
+def test_byte_grams_against_plain_integers():
+    text = "Some tëxt, twice: Some tëxt!"
+    raw, want = text.encode(), Counter()
+    for kind, n in enumerate(quality.BYTE_GRAMS):
+        for i in range(len(raw) - n + 1):
+            code = int.from_bytes(raw[i : i + n], "little")
+            want[((code + kind + 1) * 0x9E3779B97F4A7C15 % 2**64) >> 47] += 1
+    (found,) = quality.features(pa.array([text], pa.string()))
+    assert not want - Counter(found.tolist())
+
+
 def test_features_do_not_depend_on_neighbours():
     texts = [r[1] for r in edge_rows()]
     together = quality.features(pa.array(texts, pa.string()))
@@ -673,6 +762,21 @@ def test_top_k(spark, monkeypatch, block):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 10 == 0, 5).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """One large component changes nobody else's result; scores beyond 2**61 are ties."""
+    rng = np.random.default_rng(3)
+    rows = [(k, (rng.normal(size=4) * 10.0 ** rng.integers(-2, 8)).tolist()) for k in range(60)]
+    rows += [(60, [2.0**26, 1.0, 0.0, -(2.0**27)]), (61, [1e300, 0.0, 0.0, 0.0]), (62, [0.0, 0.0, 0.0, 1e15]), (63, [-1e300, 1e5, 1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    cut = lambda x: max(min(x, 2**61), -(2**61))
+    whole = [(i, [cut(math.floor(256 * x)) for x in v]) for i, v in rows]
+    want = Counter()
+    for i, q in whole:
+        best = sorted((-cut(sum(a * b for a, b in zip(q, v))), j) for j, v in whole if j != i)[:7]
+        want.update((i, n + 1, j, -s) for n, (s, j) in enumerate(best))
+    assert Counter(map(tuple, topk.top_k(df, F.lit(True), 7).collect())) == want
+
+
 def test_top_k_whole_table(spark, folder):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     got = Counter(map(tuple, QUERIES["op7_histogram_top_k"](spark, folder).collect()))
@@ -772,6 +876,12 @@ def test_mix_edges(edge, nothing):
     out = mixing.mixed(edge)
     assert out.columns == edge.columns
     assert Counter(r.doc_id for r in out.collect()) == Counter({k: n for k, n in copies.items() if n})
+    names = ["_mix_none", "_mix_source", "_mix_copy", "_MIX_threshold", "a`b", "c.d", "copies", "source_key"]
+    clash = edge.withColumns({n: F.lit(5) for n in names})
+    again = mixing.mixed(clash)
+    assert again.columns == clash.columns
+    assert all(r[n] == 5 for r in again.collect() for n in names)
+    assert Counter(r.doc_id for r in again.collect()) == Counter(r.doc_id for r in out.collect())
     assert mixing.mix(nothing).count() == 0 and mixing.mixed(nothing).count() == 0
 
 
