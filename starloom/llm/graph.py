@@ -23,8 +23,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Rounds of two steps until nothing changes: each node hands its larger neighbours to its
     smallest one, then each node joins its smallest with its smaller ones. A node's edges are
-    only aggregated to a minimum and joined with it, so a node with very many edges is summed
-    before the shuffle and its join partition can be split. Every round is a written table.
+    aggregated to a minimum, which is summed before the shuffle and written; then edges meet it
+    in a join of two plain tables, so that the edges of one node can be split. Every round is a
+    written table.
     """
     node = edges.schema["a"].dataType
     edges = edges.select(F.col("a").cast(node), F.col("b").cast(node)).where(
@@ -40,13 +41,13 @@ def components(edges: DataFrame) -> DataFrame:
     state = _state(current)
     while state[0]:
         both = current.union(current.select("b", "a"))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
+        least = settle(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), "least")
         large = (
             both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
         large = large.where("a <> b").distinct()
         large = settle(large, "edges")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = settle(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a")
         small = (
             small.select(F.col("b").alias("a"), F.col("m").alias("b"))
