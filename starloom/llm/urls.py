@@ -12,9 +12,19 @@ from starloom.staging import settle
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _CANONICAL = r"""(?is)<link\s[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-_HREF = r"""(?is)\bhref\s*=\s*["']?([^"'\s>]+)"""
 _REFRESH = r"""(?is)<meta\s[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-_GOAL = r"""(?is)\burl\s*=\s*["']?([^"'\s>]+)"""
+#: A value in double quotes, in single quotes, or bare.
+_HREF = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'\s>]+))"""
+_CONTENT = r"""(?is)\bcontent\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'\s>]+))"""
+_GOAL = r"""(?is)^\s*[0-9.]*\s*[;,]?\s*url\s*=\s*["']?([^"']*)"""
+#: Parts of a page whose tags are none: comments, and elements of plain text.
+_PLAIN = r"(?is)<!--.*?-->|<(script|style|textarea|title)\b[^>]*>.*?</\1\s*>"
+#: Character references that URLs hold, by the character they stand for.
+_REFERENCES = [
+    ("&quot;|&#0*34;|&#[xX]0*22;", '"'), ("&apos;|&#0*39;|&#[xX]0*27;", "'"), ("&lt;|&#0*60;|&#[xX]0*3[cC];", "<"),
+    ("&gt;|&#0*62;|&#[xX]0*3[eE];", ">"), ("&sol;|&#0*47;|&#[xX]0*2[fF];", "/"),
+    ("&colon;|&#0*58;|&#[xX]0*3[aA];", ":"), ("&amp;|&#0*38;|&#[xX]0*26;", "&"),
+]
 
 
 def _rest(url: Column) -> Column:
@@ -40,17 +50,54 @@ def node(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(host(url), path(url), query))
 
 
+def _without_dots(place: Column) -> Column:
+    """The path without ``.`` and ``..`` segments; ``..`` never goes above the top."""
+    segments = F.split(place, "/")
+    kept = F.aggregate(
+        segments, F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == ".", acc)
+        .when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1))))
+        .otherwise(F.concat(acc, F.array(x))),
+    )
+    open_end = F.element_at(segments, -1).isin(".", "..")
+    joined = F.array_join(F.when(open_end, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+    return F.when(place.rlike(r"/\.{1,2}(/|$)"), joined).otherwise(place)
+
+
+def settled_node(url: Column) -> Column:
+    """``node`` of the URL in its plain form: no user info, no port that the scheme has anyway, no
+    dot segments, and ``/`` for an empty path."""
+    scheme = F.lower(F.regexp_extract(url, r"^(.*?)://", 1))
+    name = F.regexp_replace(host(url), "^.*@", "")
+    usual = F.when(scheme == "http", "(:80|:)$").when(scheme == "https", "(:443|:)$").otherwise(":$")
+    name = F.call_function("regexp_replace", name, usual, F.lit(""))
+    place = _without_dots(path(url))
+    query = F.coalesce(F.regexp_extract(_rest(url), r"^[^?#]*(\?[^#]*)?", 1), F.lit(""))
+    whole = F.concat(name, F.when(place == "", F.lit("/")).otherwise(place), query)
+    return F.when(F.instr(url, "://") > 0, whole)
+
+
+def _attribute(tag: Column, pattern: str) -> Column:
+    """An attribute's value without quotes, its character references replaced, trimmed."""
+    value = F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)])
+    for found, character in _REFERENCES:
+        value = F.regexp_replace(value, found, character)
+    return F.btrim(value, F.lit(" \t\n\r\f"))
+
+
 def _absolute(base: Column, link: Column) -> Column:
-    """``link`` as a page at ``base`` means it."""
+    """``link`` as a page at ``base`` means it; its dot segments are still there."""
     scheme = F.regexp_extract(base, r"^(.*?)://", 1)
     top = F.concat(scheme, F.lit("://"), F.regexp_extract(_rest(base), r"^[^/?#]*", 0))
     folder = F.regexp_extract(path(base), r"^.*/", 0)
+    query = F.coalesce(F.regexp_extract(_rest(base), r"^[^?#]*(\?[^#]*)?", 1), F.lit(""))
     return (
         F.when(link.isNull() | (link == ""), F.lit(None))
         .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
         .when(link.startswith("/"), F.concat(top, link))
-        .when(link.rlike(r"^[?#]"), F.concat(top, path(base), link))
+        .when(link.startswith("?"), F.concat(top, path(base), link))
+        .when(link.startswith("#"), F.concat(top, path(base), query, link))
         .otherwise(
             F.concat(top, F.when(folder == "", F.lit("/")).otherwise(folder), link)
         )
@@ -59,16 +106,19 @@ def _absolute(base: Column, link: Column) -> Column:
 
 def alias_edges(pages: DataFrame) -> DataFrame:
     """Edges (a, b) between the nodes of pages and those that their canonical link and
-    refresh redirect name. Links that lead to the page itself give none."""
-    link = F.regexp_extract(F.regexp_extract("html", _CANONICAL, 0), _HREF, 1)
-    goal = F.regexp_extract(F.regexp_extract("html", _REFRESH, 0), _GOAL, 1)
-    return (
-        pages.where(F.col("html").rlike(r"(?i)canonical|http-equiv"))
-        .select("url", F.explode(F.array(link, goal)).alias("link"))
-        .select(node(F.col("url")).alias("a"), node(_absolute(F.col("url"), F.col("link"))).alias("b"))
-        .where("a <> b")
-        .distinct()
-    )
+    refresh redirect name, and from each page's node to its plain form. Links in comments, scripts
+    and other plain text are none, and links that lead to the page itself give none."""
+    url = F.col("url")
+    linked = pages.where(F.col("html").rlike(r"(?i)canonical|http-equiv"))
+    html = F.when(F.col("html").rlike(r"(?i)<!--|<(script|style|textarea|title)\b"),
+                  F.regexp_replace("html", _PLAIN, "")).otherwise(F.col("html"))
+    linked = linked.select("url", html.alias("html"))
+    link = _attribute(F.regexp_extract("html", _CANONICAL, 0), _HREF)
+    goal = F.regexp_extract(_attribute(F.regexp_extract("html", _REFRESH, 0), _CONTENT), _GOAL, 1)
+    ends = linked.select("url", F.explode(F.array(link, F.btrim(goal))).alias("link"))
+    named = ends.select(node(url).alias("a"), settled_node(_absolute(url, F.col("link"))).alias("b"))
+    plain = pages.select(node(url).alias("a"), settled_node(url).alias("b"))
+    return named.union(plain).where("a <> b").distinct()
 
 
 def rules_table(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -102,7 +152,8 @@ def _decided(urls: DataFrame, rules: DataFrame) -> DataFrame:
     Of two equally long rules the later in order (rule, verdict) counts; allow beats block on the
     same rule.
     """
-    known = _host_rules(urls.select("host").distinct(), rules)
+    # written first: its size tells whether it is broadcast, and else a host's rows can be split
+    known = settle(_host_rules(urls.select("host").distinct(), rules), "host_rules")
     found = F.filter("fits", lambda r: F.expr("path").startswith(r["rule_path"]))
     order = F.transform(
         found,
@@ -127,7 +178,7 @@ def judge(
     The longest rule that fits a URL decides it. A URL that no rule fits is blocked if a URL it is
     equivalent to is blocked by a rule: equivalent are the URLs of a component over redirects
     and canonical links (``alias_edges`` of the pages, and ``edges(a, b)`` between URLs, such as
-    a crawler's redirect log). An explicit allow stands for its own URL, whatever its aliases are;
+    a crawler's redirect log); a URL and its plain form are equivalent too. An explicit allow stands for its own URL, whatever its aliases are;
     it does not free aliases from a block. All others get ``default``.
 
     Rules are (rule_verdict, rule_host, rule_path) and hold for subdomains too. Null URLs have
@@ -140,9 +191,11 @@ def judge(
     )
     links = alias_edges(pages)
     if edges is not None:
-        links = links.union(
-            edges.select(node(F.col("a")).alias("a"), node(F.col("b")).alias("b")).where("a <> b")
+        log = edges.select(F.explode(F.array("a", "b")).alias("u"), "a", "b")
+        log = log.select(node(F.col("a")).alias("a"), node(F.col("b")).alias("b")).union(
+            log.select(node(F.col("u")).alias("a"), settled_node(F.col("u")).alias("b"))
         )
+        links = links.union(log.where("a <> b"))
     links = settle(links, "alias_edges")
     decided = _decided(urls, rules)
     blocked = F.lit(False)

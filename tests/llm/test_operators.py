@@ -2,9 +2,11 @@
 the whole small tables."""
 
 import hashlib
+import html.parser
 import math
 import random
 import re
+import urllib.parse
 import zlib
 from collections import Counter, defaultdict
 
@@ -16,7 +18,7 @@ from starloom.llm import (
     graph, minhash, mixing, packing, pii, quality, repeats, tokens, topk, urls, vecdedup, vectors,
 )
 from starloom.llm import text as tx
-from starloom.llm.queries import QUERIES, tokenizer_path
+from starloom.llm.queries import QUERIES, URL_RULES, tokenizer_path
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns whose names the operators use inside; inputs may have them too.
@@ -818,6 +820,114 @@ def test_blocks_reach_aliases(spark):
     assert urls.judge(df.limit(0), rules).count() == 0
 
 
+class Links(html.parser.HTMLParser):
+    """The first canonical link and the first refresh of a page, as a parser sees them."""
+
+    CDATA_CONTENT_ELEMENTS = ("script", "style", "textarea", "title")
+
+    def __init__(self, text):
+        super().__init__(convert_charrefs=False)
+        self.link = self.goal = None
+        self.feed(text or "")
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        attrs = {k: v or "" for k, v in reversed(attrs)}
+        if tag == "link" and self.link is None and attrs.get("rel", "").lower() == "canonical":
+            self.link = attrs.get("href", "").strip()
+        if tag == "meta" and self.goal is None and attrs.get("http-equiv", "").lower() == "refresh":
+            head, _, goal = attrs.get("content", "").partition("=")
+            if head.strip().lower().endswith("url"):
+                self.goal = goal.strip().strip("\"'").strip()
+
+
+def raw_node(url):
+    """Host in lower case, path and query, as they stand."""
+    if not url or "://" not in url:
+        return None
+    rest = url.split("://", 1)[1].split("#")[0]
+    at = min([rest.find(c) for c in "/?" if c in rest] or [len(rest)])
+    return rest[:at].translate(LOWER) + rest[at:]
+
+
+def plain_node(url):
+    if raw_node(url) is None:
+        return None
+    parts = urllib.parse.urlsplit(url)
+    name = parts.netloc.rpartition("@")[2].lower()
+    port = {"http": "80", "https": "443"}.get(parts.scheme)
+    for end in (f":{port}", ":"):
+        name = name.removesuffix(end)
+    # a path from the top goes through the resolver alone
+    place = urllib.parse.urlsplit(urllib.parse.urljoin("http://x/", parts.path or "/")).path
+    return name + place + (f"?{parts.query}" if "?" in url.split("#")[0] else "")
+
+
+def brute_verdicts(pages, rules):
+    def rule_of(at):
+        name, place = re.match(r"([^/?]*)([^?]*)", at).groups()
+        fits = [r for r in rules if (name == r[1] or name.endswith("." + r[1])) and place.startswith(r[2])]
+        return max(fits, key=lambda r: len(r[1] + r[2]), default=None)
+
+    group = {}
+
+    def find(x):
+        while group.setdefault(x, x) != x:
+            x = group[x]
+        return x
+
+    for _, url, text in pages:
+        a = raw_node(url)
+        if a is None:
+            continue
+        found = Links(text)
+        for b in (plain_node(url), *(plain_node(urllib.parse.urljoin(url, x)) for x in (found.link, found.goal) if x)):
+            if b is not None:
+                group[find(a)] = find(b)
+    bad = {find(x) for x in list(group) if (r := rule_of(x)) and r[0] == "block"}
+    out = Counter()
+    for page, url, _ in pages:
+        a = raw_node(url)
+        rule = rule_of(a) if a is not None else None
+        blocked = a is not None and find(a) in bad
+        out[page, rule and rule[1] + rule[2], rule[0] if rule else "block" if blocked else "allow"] += 1
+    return out
+
+
+def odd_pages(rng, n):
+    hosts = ["a.org", "b.org", "example.com", "x.net", "WWW.Example.com", "a.org:80", "me:pw@b.org", "b.org:443", "c.org:8080"]
+    places = ["", "/", "/x/y", "/x/./y", "/x/../en/z", "/en/z", "/es/1", "/../fr/2/..", "/fr/2/.", "/x/y?q=../1", "/a/b;c", "/x/y#f"]  # urljoin would merge //
+    links = ["../en/z?a=1&amp;b=2", "/es/1", "./", "..", "../../../..", "//x.net/fr/", "http://x.net/es/1", "https://a.org:443/x/y", "?q=1", "#top",
+             "z.html", "HTTP://B.org", "http://b.org/", " /x/y ", "&#47;es&#x2F;1", "mailto:a@b.org", "", "/x/%2e%2e/y", "a;b/../c"]
+    url = lambda: rng.choice(["http", "https"]) + "://" + rng.choice(hosts) + rng.choice(places)
+    out = []
+    for k in range(n):
+        link, quote = rng.choice(links) if rng.random() < 0.7 else url(), rng.choice("\"'")
+        tag = rng.choice([
+            f"<link rel=canonical href={quote}{link}{quote}>", f"<LINK href={quote}{link}{quote} REL='Canonical' />",
+            f"<meta http-equiv=refresh content={quote}0; URL={link}{quote}>",
+            f"<!-- <link rel=canonical href={quote}{link}{quote}> -->", f"<script>'<link rel=canonical href={quote}{link}{quote}>'</script>",
+        ])
+        out.append((k, url() if rng.random() < 0.95 else rng.choice([None, "nonsense", "a:b"]), f"<html><head>{tag}</head><p>text" if rng.random() < 0.6 else None))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_aliases_against_a_resolver_and_a_parser(spark, seed):
+    pages = odd_pages(random.Random(seed), 60)
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(3)
+    rows = urls.judge(df, urls.rules_table(spark, URL_RULES)).collect()
+    want = brute_verdicts(pages, URL_RULES)
+    got = Counter((r.page_id, r.rule, r.verdict) for r in rows)
+    assert got == want, [(x, pages[x[0]]) for x in list((got - want))[:4]]
+
+
+def test_aliases_on_the_whole_table(spark, folder):
+    pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{folder}/pages.parquet").collect()]
+    rows = QUERIES["op8_redirect_url_filter"](spark, folder).collect()
+    assert Counter((r.page_id, r.rule, r.verdict) for r in rows) == brute_verdicts(pages, URL_RULES)
+
+
 # 9 mixing -------------------------------------------------------------------------------------
 
 
