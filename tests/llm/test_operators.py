@@ -300,6 +300,23 @@ def test_whole_table_turns_back(spark, folder, docs):
             assert value not in r.text
 
 
+def test_other_digits_and_long_addresses_are_undone():
+    """Digits of other scripts are no digits here; addresses of any length are replaced."""
+    f, rng = pii.Feistel(b"k"), random.Random(21)
+    parts = ["+٤٤ 1234 567 890", "1٩2.168.1.1", "192.168.1.1", "4111 1111 1111 1111", "²34-56-7890", "2020-٠1-01", "١٢٣", " ", "-", "12", "(020) 555 0100"]
+    for _ in range(600):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 8)))
+        new, n = pii.pseudonyms(text, f)
+        assert pii.pseudonyms(new, f, back=True) == (text, n)
+        assert [c for c in new if not c.isascii()] == [c for c in text if not c.isascii()]
+    for address in ("a" * 65 + "@example.com", "u@" + "b1." * 12 + "org", "x" * 5000 + ".y@" + "q-" * 300 + "z.net"):
+        new, n = pii.pseudonyms(f"to {address}, please", f)
+        assert n == 1 and address not in new and new[3 : 3 + address.index("@")] != address[: address.index("@")]
+        assert pii.pseudonyms(new, f, back=True) == (f"to {address}, please", 1)
+    for long in ("a" * 400_000, "a." * 200_000, "a@" * 100_000, "x@" + "a." * 200_000, "x@" + "a-" * 200_000):
+        pii.pseudonyms(long, f)  # in time that grows with the text
+
+
 # 2 token counts -------------------------------------------------------------------------------
 
 
