@@ -7,8 +7,8 @@ of them with a gap behind, and each twenty-fifth has three-day offers beside the
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
-from functools import partial
+from datetime import date, datetime
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from starloom.plans.increments import KeptReports
 from starloom.plans.schemas import DIMENSIONS, FACT
 from starloom.plans.star import run_warehouse
 from starloom.sinks import AtomicStore
+from starloom.sinks.interleaved import read_interleaved, write_interleaved
 from starloom.sources.retail import MONEY, retail_source, retail_table
 from starloom.staging import new_path
 
@@ -393,3 +394,40 @@ def _kept(model: str, spark: SparkSession, folder: str) -> DataFrame:
 for _model in ("wide", "narrow"):
     QUERIES[f"kept_reports_{_model}"] = partial(_kept, _model)
     SQL[f"kept_reports_{_model}"] = retail_oracle.SQL[f"warehouse_run_{_model}"]
+
+
+SKIP_COLUMNS = ("l_partkey", "l_suppkey", "l_shipdate")
+SKIP_RANGES = {
+    "l_partkey": (100, 140), "l_suppkey": (3, 5),
+    "l_shipdate": (datetime(1997, 3, 1), datetime(1997, 4, 15)),
+}
+
+
+def skipping_table(spark: SparkSession, folder: str, files: int = 64) -> str:
+    """All order lines in files of ranges of three columns at once; where they lie."""
+    path = new_path(spark, "interleaved_lines")
+    write_interleaved(retail_table(spark, folder, "lineitem"), path, SKIP_COLUMNS, files)
+    return path
+
+
+@query
+def lines_by_each_column(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines in a range of one column, of each in turn, and of all three, each read from the
+    files that may hold them."""
+    path, out = skipping_table(spark, folder), []
+    for name, ranges in [*((c, {c: r}) for c, r in SKIP_RANGES.items()), ("all", SKIP_RANGES), ("none", {})]:
+        rows = read_interleaved(spark, path, ranges)
+        total = F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(29,4)")
+        out.append(rows.agg(F.lit(name).alias("ByColumn"), F.count("*").alias("Rows"), total.alias("Quantity")))
+    return reduce(DataFrame.unionByName, out)
+
+
+_SKIP_WHERE = {
+    "l_partkey": "l_partkey BETWEEN 100 AND 140", "l_suppkey": "l_suppkey BETWEEN 3 AND 5",
+    "l_shipdate": "l_shipdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1997-04-15'",
+}
+SQL["lines_by_each_column"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS "ByColumn", count(*) AS "Rows",
+    sum(l_quantity::DECIMAL(18,2))::DECIMAL(29,4) AS "Quantity" FROM lineitem WHERE {where}"""
+    for name, where in {**_SKIP_WHERE, "all": " AND ".join(_SKIP_WHERE.values()), "none": "true"}.items()
+)

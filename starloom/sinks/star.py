@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom.operators.changes import new_rows
 from starloom.plans.schemas import FOREIGN_KEYS, LOOKUP_COLUMNS
 from starloom.sinks.files import write_parquet
+from starloom.sinks.interleaved import write_interleaved
 from starloom.sinks.keymap import KeyMap
 
 Sink = Callable[[str, DataFrame, str], None]
@@ -51,12 +52,23 @@ class ParquetSink:
 
     ``partition_by`` names columns made of the fact's DateKey, ``Year`` or ``Year`` and
     ``Month``: each value is a folder, so that a filter on them opens only its files. Rows go to
-    tasks by these columns and a hash of the row, ``files`` to a folder at most."""
+    tasks by these columns and a hash of the row, ``files`` to a folder at most.
+
+    ``interleave`` writes each table that is overwritten in that many files of ranges of all its
+    lookup columns at once, see ``interleaved``: ``read_interleaved`` then opens only the files that a
+    filter on any of them needs."""
 
     def __init__(
-        self, root: str, sort: bool = True, partition_by: Sequence[str] = (), files: int = 4
+        self,
+        root: str,
+        sort: bool = True,
+        partition_by: Sequence[str] = (),
+        files: int = 4,
+        interleave: int = 0,
     ):
-        self.root, self.sort = root, sort
+        if interleave and partition_by:
+            raise ValueError("files are interleaved or in folders by date, not both")
+        self.root, self.sort, self.interleave = root, sort, interleave
         self.partition_by, self.files = list(partition_by), files
         self.keys = KeyMap(f"{root}/_keys")
 
@@ -64,6 +76,11 @@ class ParquetSink:
         columns = LOOKUP_COLUMNS.get(name, []) if self.sort else []
         sort_by = [c for c in columns if c in df.columns]
         folders: list[str] = []
+        if self.interleave and sort_by:
+            if mode != "overwrite":
+                raise ValueError("interleaved tables are overwritten: their files hold ranges of all rows")
+            write_interleaved(df, f"{self.root}/{name}", sort_by, self.interleave)
+            return
         if name in FOREIGN_KEYS and self.partition_by:
             parts = {"Year": F.col("DateKey") / 10000, "Month": F.col("DateKey") / 100 % 100}
             folders = self.partition_by
