@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 import retail_oracle
 from starloom.operators.audit import audit_summary
+from starloom.operators.discovery import candidate_keys, column_values, references
 from starloom.operators.intervals import interval_join, merged_spans, span_gaps, span_overlaps
 from starloom.operators.skew import hot_keys
 from starloom.operators.versions import merge_versions, version_at
@@ -431,3 +432,68 @@ SQL["lines_by_each_column"] = " UNION ALL ".join(
     sum(l_quantity::DECIMAL(18,2))::DECIMAL(29,4) AS "Quantity" FROM lineitem WHERE {where}"""
     for name, where in {**_SKIP_WHERE, "all": " AND ".join(_SKIP_WHERE.values()), "none": "true"}.items()
 )
+
+
+DISCOVERED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def _discovered(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    tables = {name: retail_table(spark, folder, name) for name in DISCOVERED}
+    return column_values(tables), tables
+
+
+@query
+def found_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Every column of the retail tables: its rows, nulls and values, and whether it is a key."""
+    return candidate_keys(*_discovered(spark, folder))
+
+
+@query
+def found_references(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns that have nearly all their values in a key of another table, with the rows that break it."""
+    return references(*_discovered(spark, folder), least_share=0.9)
+
+
+# The columns of the tables by kind of value.
+_COLUMNS = {
+    "region": {"r_regionkey": "number", "r_name": "text"},
+    "nation": {"n_nationkey": "number", "n_name": "text", "n_regionkey": "number"},
+    "customer": {
+        "c_custkey": "number", "c_name": "text", "c_nationkey": "number", "c_acctbal": "real", "c_mktsegment": "text",
+    },
+    "supplier": {"s_suppkey": "number", "s_name": "text", "s_nationkey": "number", "s_acctbal": "real"},
+    "part": {
+        "p_partkey": "number", "p_name": "text", "p_brand": "text", "p_type": "text", "p_size": "number",
+        "p_retailprice": "real",
+    },
+    "orders": {
+        "o_orderkey": "number", "o_custkey": "number", "o_orderstatus": "text", "o_totalprice": "real",
+        "o_orderdate": "time", "o_orderpriority": "text",
+    },
+    "lineitem": {
+        "l_orderkey": "number", "l_partkey": "number", "l_suppkey": "number", "l_linenumber": "number",
+        "l_quantity": "real", "l_extendedprice": "real", "l_discount": "real", "l_tax": "real",
+        "l_returnflag": "text", "l_linestatus": "text", "l_shipdate": "time",
+    },
+}
+_COUNTED = "counted AS (" + " UNION ALL ".join(
+    f"""SELECT '{t}' AS t, '{c}' AS c, '{k}' AS kind, {c}::VARCHAR AS v, count(*) AS n FROM {t}
+    GROUP BY {c}""" for t, columns in _COLUMNS.items() for c, k in columns.items()
+) + """), keys AS (
+    SELECT t AS "TableName", c AS "ColumnName", sum(n)::BIGINT AS "Rows",
+        coalesce(sum(n) FILTER (v IS NULL), 0)::BIGINT AS "Nulls", count(v) AS "Values",
+        count(*) FILTER (v IS NOT NULL AND n > 1) AS "Repeated",
+        count(*) FILTER (v IS NULL OR n > 1) = 0 AS "IsKey"
+    FROM counted GROUP BY t, c)"""
+SQL["found_keys"] = f"WITH {_COUNTED} SELECT * FROM keys"
+SQL["found_references"] = f"""
+WITH {_COUNTED},
+shared AS (
+    SELECT a.t AS child_t, a.c AS child_c, b.t AS parent_t, b.c AS parent_c, count(*) AS s, sum(a.n) AS r
+    FROM counted a JOIN counted b ON a.kind = b.kind AND a.v = b.v AND a.t <> b.t GROUP BY ALL)
+SELECT child_t || '.' || child_c AS "ChildColumn", parent_t || '.' || parent_c AS "ParentColumn", c."Values", s AS "Shared",
+    (c."Rows" - c."Nulls" - r)::BIGINT AS "BrokenRows"
+FROM shared JOIN keys c ON c."TableName" = child_t AND c."ColumnName" = child_c
+JOIN keys p ON p."TableName" = parent_t AND p."ColumnName" = parent_c
+WHERE p."IsKey" AND s >= 0.9 * c."Values"
+"""
