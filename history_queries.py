@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import retail_oracle
 from starloom.operators.audit import audit_summary
 from starloom.operators.discovery import candidate_keys, column_values, references
+from starloom.operators.inference import inferred_types, merged_state, type_state
 from starloom.operators.intervals import interval_join, merged_spans, span_gaps, span_overlaps
 from starloom.operators.skew import hot_keys
 from starloom.operators.versions import merge_versions, version_at
@@ -497,3 +498,67 @@ FROM shared JOIN keys c ON c."TableName" = child_t AND c."ColumnName" = child_c
 JOIN keys p ON p."TableName" = parent_t AND p."ColumnName" = parent_c
 WHERE p."IsKey" AND s >= 0.9 * c."Values"
 """
+
+
+def _untyped(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as a dump without a schema has them: every column a text."""
+    key, price = F.col("l_orderkey"), F.col("l_extendedprice").cast("decimal(12,2)")
+    return retail_table(spark, folder, "lineitem").select(
+        key.cast("string").alias("OrderID"), (key * 10_000_000_000).cast("string").alias("LongID"),
+        (key % 2).cast("string").alias("Flag"), price.cast("string").alias("Price"),
+        F.when(key % 7 != 0, (-price).cast("string")).otherwise(F.col("l_linenumber").cast("string")).alias("Mixed"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("ShipDay"),
+        F.when(key % 3 == 0, F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("ShipTime"),
+        F.when(key % 1000 != 0, key.cast("string")).otherwise("n/a").alias("Broken"),
+        F.lpad(key.cast("string"), 9, "0").alias("Padded"), F.when(key % 5 == 0, F.lit("")).alias("Nothing"),
+        F.when(key % 4 == 0, F.col("l_returnflag")).alias("Letter"),
+    )
+
+
+@query
+def inferred_column_types(spark: SparkSession, folder: str) -> DataFrame:
+    """The narrowest type of each column and how many values keep it from a narrower one, merged from
+    the states of two halves of the lines."""
+    lines = _untyped(spark, folder)
+    halves = [type_state(lines.where(f"Flag = '{k}'")) for k in (0, 1)]
+    return inferred_types(merged_state(halves[0].unionByName(halves[1])))
+
+
+_UNTYPED = {
+    "OrderID": "l_orderkey::VARCHAR", "LongID": "(l_orderkey * 10000000000)::VARCHAR",
+    "Flag": "(l_orderkey % 2)::VARCHAR", "Price": "l_extendedprice::DECIMAL(12,2)::VARCHAR",
+    "Mixed": "CASE WHEN l_orderkey % 7 <> 0 THEN (-l_extendedprice::DECIMAL(12,2))::VARCHAR ELSE l_linenumber::VARCHAR END",
+    "ShipDay": "strftime(l_shipdate, '%Y-%m-%d')",
+    "ShipTime": """CASE WHEN l_orderkey % 3 = 0 THEN strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')
+        ELSE strftime(l_shipdate, '%Y-%m-%d') END""",
+    "Broken": "CASE WHEN l_orderkey % 1000 <> 0 THEN l_orderkey::VARCHAR ELSE 'n/a' END",
+    "Padded": "lpad(l_orderkey::VARCHAR, 9, '0')", "Nothing": "NULL",
+    "Letter": "CASE WHEN l_orderkey % 4 = 0 THEN l_returnflag END",
+}
+SQL["inferred_column_types"] = """
+WITH cells AS (""" + " UNION ALL ".join(
+    f"SELECT '{name}' AS c, {value} AS v FROM lineitem" for name, value in _UNTYPED.items()
+) + r"""),
+read AS (
+    SELECT *, v IN ('0', '1') AS is_bit,
+        regexp_matches(v, '^-?(0|[1-9][0-9]*)$') AND try_cast(v AS INTEGER) IS NOT NULL AS is_int,
+        regexp_matches(v, '^-?(0|[1-9][0-9]*)$') AND try_cast(v AS BIGINT) IS NOT NULL AS is_bigint,
+        regexp_matches(v, '^-?(0|[1-9][0-9]*)(\.[0-9]+)?$') AS is_decimal,
+        regexp_matches(v, '^\d{4}-\d\d-\d\d$') AS is_date,
+        regexp_matches(v, '^\d{4}-\d\d-\d\d( \d\d:\d\d:\d\d)?$') AS is_time FROM cells),
+counted AS (
+    SELECT c, count(*) AS n, count(v) AS known, coalesce(max(length(v)), 0) AS longest,
+        max(length(regexp_extract(v, '^-?([0-9]+)', 1))) FILTER (is_decimal) AS digits,
+        max(length(regexp_extract(v, '\.([0-9]+)$', 1))) FILTER (is_decimal) AS scale,
+        [count(*) FILTER (NOT is_bit), count(*) FILTER (NOT is_int), count(*) FILTER (NOT is_bigint),
+         count(*) FILTER (NOT is_decimal), count(*) FILTER (NOT is_date), count(*) FILTER (NOT is_time)] AS misses
+    FROM read GROUP BY c)
+SELECT c AS "ColumnName",
+    CASE WHEN known = 0 THEN 'null' WHEN list_contains(misses, 0) THEN ['bit', 'int', 'bigint',
+        'decimal(' || (digits + scale) || ',' || scale || ')', 'date', 'timestamp'][list_position(misses, 0)]
+        ELSE 'varchar(' || longest || ')' END AS "Type",
+    n AS "Rows", n - known AS "Empty", longest AS "Longest",
+    coalesce(list_min(list_filter(misses, lambda m: m > 0 AND m < known)), 0) AS "Breaks"
+FROM counted
+"""
