@@ -34,7 +34,7 @@ def dense_key(
     if not unique:
         df = settle(dedupe(df, [natural_key]), name)
     if isinstance(df.schema[natural_key].dataType, T.NumericType):
-        total, cuts = _cuts(df, natural_key)
+        total, cuts = _cuts(df, natural_key, rows_per_range)
         ranges = max(1, math.ceil(total / rows_per_range))
         rows, rank = _number_by_cuts(df, natural_key, ranges, cuts)
     else:
@@ -65,11 +65,14 @@ def stable_key(
     return df.join(known, same).select(name, *df.columns).unionByName(fresh)
 
 
-def _cuts(df: DataFrame, key: str) -> tuple[int, list[float]]:
-    """Rows, and evenly spaced approximate percentiles of the key, in one pass."""
+def _cuts(df: DataFrame, key: str, rows_per_range: int) -> tuple[int, list[float]]:
+    """Rows, and evenly spaced approximate percentiles of the key where one range is too small."""
+    total = df.select(key).count()
+    if total <= rows_per_range:
+        return total, []
     shares = ", ".join(f"{i / CUTS!r}D" for i in range(1, CUTS))
     cuts = F.expr(f"percentile_approx(CASE WHEN NOT isnan(`{key}`) THEN `{key}` END, array({shares}), 10000)")
-    total, found = df.agg(F.count("*"), cuts).first()
+    (found,) = df.agg(cuts).first()
     return total, sorted({float(c) for c in found or [] if math.isfinite(c)})
 
 

@@ -29,7 +29,10 @@ def hot_keys(
     least = hot_rows
     if least is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        least = max(HOT_ROWS, 2 * df.count() // partitions)
+        total = df.count()
+        least = max(HOT_ROWS, 2 * total // partitions)
+        if total < least:  # no key can have that many rows
+            return {key: {} for key in keys}
     fraction = min(1.0, SAMPLED_HITS / least)
     rows = df.select(*keys)
     if fraction < 1:
