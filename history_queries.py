@@ -366,8 +366,8 @@ for _model in ("wide", "narrow"):
 
 
 def _kept(model: str, spark: SparkSession, folder: str) -> DataFrame:
-    """Reports read from the sums of each load: customers of odd ids, all customers, all again, the
-    second load withdrawn and loaded anew, then the sums compacted."""
+    """Reports read from the sums of each load: customers of odd ids, all customers, the second load
+    withdrawn and loaded anew, then the sums compacted."""
     source, store, kept = retail_source(spark, folder), AtomicStore(new_path(spark, f"kept_{model}")), KeptReports(model)
 
     def half(name: str) -> DataFrame:
@@ -375,7 +375,7 @@ def _kept(model: str, spark: SparkSession, folder: str) -> DataFrame:
         return df.where("CustomerID % 2 = 1") if name == "Customer" else df
 
     names = []
-    for tables in (half, source, source, None, source):
+    for tables in (half, source, None, source):
         load = store.begin(spark)
         if tables is None:
             kept.withdraw(load, names[1])
