@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from starloom.llm.cache import Recent
 
 #: Parts of texts that come in before a worker lets go of those it has not used since, and odd words.
-CACHE_PARTS, CACHE_WORDS = 200_000, 50_000
+CACHE_PARTS, CACHE_WORDS = 100_000, 50_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 
 
