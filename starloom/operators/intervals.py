@@ -21,6 +21,8 @@ from starloom.staging import settle
 Span = tuple[str, str]
 #: A bucket of one level is as wide as 2**STEP of the level below; beyond the ends nothing is counted.
 STEP, LEVELS, PAST, FUTURE = 4, 15, -(1 << 60), 1 << 60
+#: Up to so many spans on the right Spark may send to every task if it takes them for small.
+FEW_SPANS = 100_000
 
 
 def units(df: DataFrame, column: str) -> Column:
@@ -56,23 +58,25 @@ def _bounded(df: DataFrame, span: Span, names: Span) -> DataFrame:
     )
 
 
-def _common_time(sides: Sequence[tuple[DataFrame, Span]]) -> tuple[int, int]:
+def _common_time(sides: Sequence[tuple[DataFrame, Span]]) -> tuple[int, int, list[int]]:
     """From the later of the first starts to the earlier of the last ends; open ends reach to the
-    furthest day that is named on any side, as spans that meet beyond it meet there too."""
-    outer, named = [], []
+    furthest day that is named on any side, as spans that meet beyond it meet there too. And the
+    number of spans on each side."""
+    outer, named, sizes = [], [], []
     for df, (start, end) in sides:
         ends = F.array(start, end)
         finite = F.filter(ends, lambda x: (x > PAST) & (x < FUTURE))
         row = df.where(F.col(start) <= F.col(end)).agg(
-            F.min(start), F.max(end), F.min(F.array_min(finite)), F.max(F.array_max(finite))
+            F.min(start), F.max(end), F.min(F.array_min(finite)), F.max(F.array_max(finite)), F.count(F.lit(1))
         ).first()
         if row[0] is None:
-            return 0, -1
+            return 0, -1, [0] * len(sides)
         outer.append(row[:2])
-        named += [x for x in row[2:] if x is not None]
+        named += [x for x in row[2:4] if x is not None]
+        sizes.append(row[4])
     named = named or [0]
     low, high = max(x for x, _ in outer), min(x for _, x in outer)
-    return max(low, min(named)), min(high, max(named))
+    return max(low, min(named)), min(high, max(named)), sizes
 
 
 def _level(length: Column) -> Column:
@@ -127,7 +131,8 @@ def interval_join(
     a point has a row for each length of span there is, by sixteenths: one to three for histories.
     A key's rows spread over its buckets; ``hot``, as ``skew.hot_keys`` finds it on ``left`` for
     a single key, spreads those of a bucket too. Spans are first cut to the time that both sides have,
-    so that open ends are no longer than the data."""
+    so that open ends are no longer than the data. Over ``FEW_SPANS`` on the right both sides are
+    shuffled: Spark takes a side for as large as its files, however many rows it makes of theirs."""
     point = left_span[0] == left_span[1]
     if how not in ("inner", "left") or how == "left" and not point:
         raise ValueError("how is inner, or left for points in time")
@@ -139,7 +144,7 @@ def interval_join(
     two = _bounded(right, right_span, b)
     if right_span[0] == right_span[1]:
         two = two.where(F.col(b[0]).isNotNull())
-    low, high = _common_time([(one, a), (two, b)])
+    low, high, sizes = _common_time([(one, a), (two, b)])
 
     def cut(df: DataFrame, span: Span, level: str) -> DataFrame:
         """The part of each span in common time, counted from its start."""
@@ -157,6 +162,9 @@ def interval_join(
     near_levels = [0] if point else _levels(near, "_l_own")
     if not far_levels or not near_levels:
         near, far, far_levels, near_levels = near.limit(0), far.limit(0), [0], [0]
+    def met(df: DataFrame) -> DataFrame:
+        return df.hint("merge") if sizes[1] > FEW_SPANS else df
+
     renamed = {k: f"_r_key{i}" for i, k in enumerate(keys)}
     far = far.withColumnsRenamed(renamed)
     near = _spread(near, a, "_l_own", far_levels, "_l")
@@ -175,7 +183,7 @@ def interval_join(
     first = F.col("_l_bucket") == _bucket(F.greatest(a[0], b[0]), F.col("_l_level"))
     highest = F.col("_l_level") == F.greatest("_l_own", "_r_own")
     taken = [c for c in right.columns if c not in keys]
-    pairs = near.join(far, reduce(and_, [*meet, overlap, first, highest]))
+    pairs = near.join(met(far), reduce(and_, [*meet, overlap, first, highest]))
     pairs = pairs.select(*left.columns, *taken)
     if how == "inner":
         return pairs
@@ -188,7 +196,7 @@ def interval_join(
         here = [F.col(k) == F.col(n) for k, n in renamed.items()]
         here += [_bucket(F.col("_l_start"), F.lit(level)) == F.col("_r_bucket")]
         here += [F.col("_l_start").between(F.col("_r_start"), F.col("_r_end"))]
-        alone = alone.join(there, reduce(and_, here), "left_anti")
+        alone = alone.join(met(there), reduce(and_, here), "left_anti")
     missing = [F.lit(None).cast(right.schema[c].dataType).alias(c) for c in taken]
     return pairs.unionByName(alone.select(*left.columns, *missing))
 

@@ -244,3 +244,21 @@ def test_versions_are_shuffled_once(spark, monkeypatch):
     by_name = dict(plans)
     assert by_name["merged_versions"].count("Exchange hashpartitioning") == 1
     assert "Join" not in by_name["merged_versions"]
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_many_spans_are_not_sent_to_every_task(spark, monkeypatch, how):
+    points = spark.range(400).select(
+        F.concat(F.lit("k"), F.col("id") % 7).alias("key"), F.date_add(F.lit(DAY), (F.col("id") % 90).cast("int")).alias("at")
+    )
+    # a row of the file makes many spans, which Spark does not see in the file's size
+    held = settle(spark.range(7).select(F.concat(F.lit("k"), F.col("id")).alias("key"), "id"), "keys")
+    begin = F.date_add(F.lit(DAY), (F.col("j") * 9 + F.col("id")).cast("int"))
+    spans = held.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(9)))).select(
+        "key", begin.alias("from"), F.date_add(begin, F.col("j") * 2).alias("to")
+    )
+    plain = Counter(map(tuple, interval_join(points, spans, ["key"], ("at", "at"), ("from", "to"), how).collect()))
+    monkeypatch.setattr("starloom.operators.intervals.FEW_SPANS", 20)
+    many = interval_join(points, spans, ["key"], ("at", "at"), ("from", "to"), how)
+    assert "BroadcastHashJoin" not in many._jdf.queryExecution().executedPlan().toString()
+    assert Counter(map(tuple, many.collect())) == plain
