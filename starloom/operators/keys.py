@@ -129,7 +129,8 @@ def _number_sorted(df: DataFrame, key: str, name: str) -> tuple[DataFrame, Colum
 
 def _with_offsets(df: DataFrame, range_col: str, place: Column) -> tuple[DataFrame, Column]:
     """Rows with the number of rows in all lower ranges, and their rank. One count per range
-    is collected, a row for each million of the table's."""
+    is collected, a row for each million of the table's, and sent to the tasks: Spark does not know
+    the size of a list from the driver and would send the numbered rows instead."""
     counts = sorted(df.groupBy(range_col).count().collect())
     before = accumulate((row[1] for row in counts), initial=0)
     offsets = df.sparkSession.createDataFrame(
@@ -137,4 +138,4 @@ def _with_offsets(df: DataFrame, range_col: str, place: Column) -> tuple[DataFra
         f"{range_col} int, _offset bigint",
     )
     ranked = df.withColumn("_place", place)
-    return ranked.join(offsets, range_col), F.col("_place") + F.col("_offset")
+    return ranked.join(F.broadcast(offsets), range_col), F.col("_place") + F.col("_offset")

@@ -100,3 +100,11 @@ def test_spread_join_cuts_the_hot_key(spark, skewed, dim):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_numbered_rows_are_not_sent_to_every_task(spark):
+    df = spark.range(1000).select((F.col("id") * 3).alias("k"), F.lit("text").alias("v"))
+    got = dense_key(df, "k", "n", rows_per_range=100)
+    assert {r.n * 3 - 3 for r in got.collect()} == {r.k for r in got.collect()}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
