@@ -44,6 +44,38 @@ def fits(value: Column, kind: str) -> Column:
     raise ValueError(f"{kind} is none of {', '.join(TYPES)}")
 
 
+def _with_facts(cells: DataFrame) -> DataFrame:
+    """Of each ``_value``, in few looks at it: its length, whether it reads as a decimal, the digits
+    before and behind the point then, and whether it has the form of a day or time. Texts of other lengths
+    are none; of a decimal nothing but the point tells a whole number. ``$`` lets one line break follow."""
+    value, size, decimal = F.col("_value"), F.col("_size"), F.col("_decimal")
+    cells = cells.withColumns({"_size": F.length(value), "_decimal": F.coalesce(value.rlike(_DECIMAL), F.lit(False))})
+    plain = F.when(decimal, F.rtrim(value, F.lit("\r\n\u0085\u2028\u2029")))
+    form = F.when(size.between(10, 12), value.rlike(_DATE)).when(size.between(19, 31), value.rlike(_TIME))
+    form = F.when(decimal, False).otherwise(F.coalesce(form, F.lit(False)))
+    cells = cells.withColumns({"_plain": F.length(plain), "_point": F.when(decimal, F.instr(value, ".")), "_form": form})
+    plain, point = F.col("_plain"), F.col("_point")
+    sign = F.when(value.startswith("-"), 1).otherwise(0)
+    digits = F.when(point > 0, point - 1).otherwise(plain) - sign
+    scale = F.when(point > 0, plain - point).otherwise(F.when(decimal, 0))
+    return cells.withColumns({"_digits": F.when(decimal, digits), "_scale": scale})
+
+
+def _fits(kind: str) -> Column:
+    """``fits`` from the facts of a text."""
+    value, size = F.col("_value"), F.col("_size")
+    if kind == "bit":
+        return value.isin("0", "1")
+    if kind in ("int", "bigint"):
+        always = 9 if kind == "int" else 18  # so many characters are never too many
+        whole = F.col("_decimal") & (F.col("_scale") == 0)
+        return whole & F.when(size <= always, True).otherwise(value.try_cast(kind).isNotNull())
+    if kind == "decimal":
+        return F.col("_decimal") & (F.col("_digits") + F.col("_scale") <= PRECISION)
+    days = F.col("_form") & (size <= 12) if kind == "date" else F.col("_form")
+    return F.when(days, value.try_cast("date" if kind == "date" else "timestamp_ntz").isNotNull()).otherwise(False)
+
+
 def type_state(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per text column: ColumnName, Rows, Empty (null or empty), Longest (characters), Digits and
     Scale (the most before and behind a point), and for each type the values that do not fit it.
@@ -55,14 +87,15 @@ def type_state(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
         *[F.struct(F.lit(n).alias("ColumnName"), F.col(f"`{n}`").cast("string").alias("Value")) for n in names]
     )
     cells = df.select(F.explode(entries).alias("c")).select("c.*")
-    value = F.when(F.col("Value") != "", F.col("Value"))
-    number = F.when(fits(value, "decimal"), value)
+    cells = cells.select("ColumnName", F.nullif("Value", F.lit("")).alias("_value"))
+    cells = _with_facts(cells).select("ColumnName", "_value", "_size", "_digits", "_scale", *[_fits(t).alias(f"_{t}") for t in TYPES])
+    known = F.col("_value").isNotNull()
     return cells.groupBy("ColumnName").agg(
-        F.count(F.lit(1)).alias("Rows"), F.count_if(value.isNull()).alias("Empty"),
-        F.coalesce(F.max(F.length(value)), F.lit(0)).cast("bigint").alias("Longest"),
-        F.coalesce(F.max(_digits(number)), F.lit(0)).cast("bigint").alias("Digits"),
-        F.coalesce(F.max(_scale(number)), F.lit(0)).cast("bigint").alias("Scale"),
-        *[F.count_if(value.isNotNull() & ~F.coalesce(fits(value, t), F.lit(False))).alias(f"Not_{t}") for t in TYPES],
+        F.count(F.lit(1)).alias("Rows"), F.count_if(~known).alias("Empty"),
+        F.coalesce(F.max("_size"), F.lit(0)).cast("bigint").alias("Longest"),
+        F.coalesce(F.max(F.when(F.col("_decimal"), F.col("_digits"))), F.lit(0)).cast("bigint").alias("Digits"),
+        F.coalesce(F.max(F.when(F.col("_decimal"), F.col("_scale"))), F.lit(0)).cast("bigint").alias("Scale"),
+        *[F.count_if(known & ~F.coalesce(F.col(f"_{t}"), F.lit(False))).alias(f"Not_{t}") for t in TYPES],
     )
 
 

@@ -80,3 +80,16 @@ def test_states_merge_in_any_order(spark, seed):
     assert len(found) == sum(r[8] == "2020-01-01" for r in rows)
     assert type_state(df.limit(0)).count() == 0
     assert {r.ColumnName for r in type_state(df, ["c1"]).collect()} == {"c1"}
+
+
+def test_states_look_at_a_text_once_for_each_pattern(spark):
+    """The same counts as ``fits`` gives, without reading each text again for every type."""
+    odd = [*VALUES, "12\n", "1.5\r\n", "2020-01-01\n", "2020-01-01 10:00:00\r\n", "-0", "999999999", "9" * 18, "2147483648", "-2147483649"]
+    df = spark.createDataFrame([(v,) for v in odd], "v string")
+    one = type_state(df)
+    state = one.collect()[0]
+    value = F.when(F.col("v") != "", F.col("v"))
+    for t in TYPES:
+        assert state[f"Not_{t}"] == df.where(value.isNotNull() & ~F.coalesce(fits(value, t), F.lit(False))).count(), t
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 3 and "regexp_extract" not in plan
