@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,30 +12,40 @@ from pyspark.sql import types as T
 
 from starloom.staging import settle
 
-_WHOLE, _REAL = "number", "real"
+_WHOLE, _REAL, _TIME = "number", "real", "time"
 
 
-def _value(df: DataFrame, column: str) -> tuple[str, Column]:
-    """The kind of values a column has, and a value as text that is equal where values are equal:
-    whole numbers and decimals of any width are one kind, as are days and times."""
+def _value(df: DataFrame, column: str) -> tuple[str, str, Column]:
+    """The kind of values a column has, the field that holds them, and a value that is equal where
+    values are equal: whole numbers and decimals of any width are one kind, as are days and times."""
     kind = df.schema[column].dataType
     name = F.col(f"`{column}`")
-    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+    if isinstance(kind, T.IntegralType):
+        return _WHOLE, "whole", name.cast("bigint")
+    if isinstance(kind, T.DecimalType):
         plain = F.regexp_replace(name.cast("decimal(38,10)").cast("string"), r"\.?0+$", "")
-        return _WHOLE, F.when(plain.isin("", "-", "-0"), "0").otherwise(plain)
+        return _WHOLE, "text", F.when(plain.isin("", "-", "-0"), "0").otherwise(plain)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return _REAL, (name.cast("double") + 0.0).cast("string")
-    if isinstance(kind, T.DateType):
-        return "time", F.date_format(name.cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return "time", F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        return _REAL, "real", name.cast("double") + 0.0
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return _TIME, "whole", F.unix_micros(name.cast("timestamp"))
     if isinstance(kind, T.StringType):
-        return "text", name
+        return "text", "text", name
     if isinstance(kind, T.BooleanType):
-        return "flag", name.cast("string")
+        return "flag", "text", name.cast("string")
     raise TypeError(f"{column}: values of {kind.simpleString()} are not compared")
 
 
+#: Fields that hold values before they are texts.
+_FIELDS = {"whole": "bigint", "real": "double", "text": "string"}
+
+
+def _as_text() -> Column:
+    time = F.date_format(F.timestamp_micros("whole"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    whole = F.when(F.col("Kind") == _TIME, time).otherwise(F.col("whole").cast("string"))
+    return F.coalesce(whole, F.col("real").cast("string"), "text")
+
+
 def comparable(df: DataFrame) -> list[str]:
     """Columns whose values can be compared; arrays, maps, structs and binaries are left out."""
     out = []
@@ -51,22 +62,26 @@ def column_values(tables: Mapping[str, DataFrame], name: str = "column_values")
     """(Kind, Value, Columns): for every value of any column the columns that have it, each with its
     number of rows; written. ``Columns`` has a field for each column of all tables at most.
 
-    One pass over every table. A column's values are counted inside each task before they are
-    shuffled, once by column and value and once by value, so a value with a third of all rows
-    is one row a task. Nulls are counted by ``column_counts``."""
-    parts = []
+    One pass over every table. A column's values are counted as they are inside each task before they
+    are shuffled, so a value with a third of all rows is one row a task; they become texts once a
+    value, not once a row, and meet by value. Nulls are counted by ``candidate_keys``."""
+    parts, names = [], []
     for table, df in tables.items():
         entries = []
         for column in comparable(df):
-            kind, value = _value(df, column)
-            entries.append(
-                F.struct(F.lit(f"{table}.{column}").alias("Column"), F.lit(kind).alias("Kind"), value.alias("Value"))
-            )
+            kind, field, value = _value(df, column)
+            fields = [(value if f == field else F.lit(None).cast(t)).alias(f) for f, t in _FIELDS.items()]
+            entries.append(F.struct(F.lit(len(names)).alias("at"), *fields))
+            names.append((f"{table}.{column}", kind))
         if entries:
             parts.append(df.select(F.explode(F.array(*entries)).alias("v")).select("v.*"))
-    rows = reduce(DataFrame.unionByName, parts).where(F.col("Value").isNotNull())
-    counted = rows.groupBy("Column", "Kind", "Value").agg(F.count(F.lit(1)).alias("Rows"))
-    found = counted.groupBy("Kind", "Value").agg(
+    rows = reduce(DataFrame.unionByName, parts).where(reduce(or_, [F.col(f).isNotNull() for f in _FIELDS]))
+    counted = rows.groupBy("at", *_FIELDS).agg(F.count(F.lit(1)).alias("Rows"))
+    named = [F.array(*[F.lit(x[k]) for x in names])[F.col("at")].alias(n) for k, n in enumerate(("Column", "Kind"))]
+    texts = counted.select(*named, *_FIELDS, "Rows").select("Column", "Kind", _as_text().alias("Value"), "Rows")
+    # two times may be one text, where clocks go back; values meet once for that and for other columns
+    rows = texts.repartition("Kind", "Value").groupBy("Kind", "Value", "Column").agg(F.sum("Rows").alias("Rows"))
+    found = rows.groupBy("Kind", "Value").agg(
         F.collect_list(F.struct("Column", "Rows")).alias("Columns")
     )
     return settle(found, name)

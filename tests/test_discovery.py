@@ -95,3 +95,21 @@ def test_a_common_value_is_counted_before_it_is_shuffled(spark):
     finally:
         discovery.settle = real
     assert "Join" not in plans[0] and plans[0].count("Exchange hashpartitioning") == 2
+
+
+def test_values_become_texts_once_a_value(spark, monkeypatch):
+    from starloom.operators import discovery
+
+    plans = []
+    real = discovery.settle
+    keep = lambda d, n: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or real(d, n)
+    monkeypatch.setattr(discovery, "settle", keep)
+    df = spark.range(50).select("id", F.timestamp_seconds(F.col("id") % 3).alias("at"), (F.col("id") % 2 * -0.0).alias("x"))
+    values = {(r.Kind, r.Value): {c.Column: c.Rows for c in r.Columns} for r in column_values({"t": df}).collect()}
+    assert len(values) == 50 + 3 + 1 and values["real", "0.0"] == {"t.x": 50}
+    assert values["time", "1970-01-01 00:00:02.000000"] == {"t.at": 16}
+    lines = plans[0].splitlines()
+    counted = max(k for k, line in enumerate(lines) if "Aggregate" in line)
+    assert any("date_format" in line for line in lines[: counted + 1])
+    assert "date_format" not in lines[counted].split("], [")[0]  # what is counted by
+    assert not any("date_format" in line for line in lines[counted + 1 :])
