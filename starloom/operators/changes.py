@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import chain
@@ -62,7 +63,15 @@ def xml_fields(df: DataFrame, column: str, schema: str) -> DataFrame:
 
 
 def xml_values(df: DataFrame, column: str, paths: Mapping[str, str]) -> DataFrame:
-    """Add the text at one path per result column; null where the path is absent."""
-    found = {name: F.xpath_string(column, F.lit(path)) for name, path in paths.items()}
-    there = {name: F.xpath_boolean(column, F.lit(path)) for name, path in paths.items()}
-    return df.withColumns({name: F.when(there[name], found[name]) for name in paths})
+    """Add the text at one path per result column; null where the path is absent.
+
+    A text that is not empty is there; whether an empty one is takes a second look, but for paths that
+    may compute a value. Documents are dealt out first: parsing is much more work than
+    reading, and a small file is read by one task."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = {}
+    for name, path in paths.items():
+        found, there = F.xpath_string(column, F.lit(path)), F.xpath_boolean(column, F.lit(path))
+        plain = re.fullmatch(r"/[\w./@:]+", path)
+        out[name] = F.when(found != "", found).when(there, found) if plain else F.when(there, found)
+    return df.repartition(tasks).withColumns(out)

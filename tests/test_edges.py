@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from starloom.functions import full_name
 from starloom.operators.audit import audit_cast, audit_foreign_key, audit_unique
-from starloom.operators.changes import apply_changes, sparse_set, xml_fields
+from starloom.operators.changes import apply_changes, sparse_set, xml_fields, xml_values
 from starloom.operators.marts import revenue_by, revenue_rollup
 from starloom.operators.privacy import classifications, classify, masked
 from starloom.operators.shape import dedupe, first_match, require_not_null
@@ -398,3 +398,14 @@ def test_masking_follows_the_labels(spark):
     labelled = classify(df, {"n": ("PII", "Name"), "v": ("Secret", "Amount")})
     assert classifications(labelled) == {"n": ("PII", "Name"), "v": ("Secret", "Amount")}
     assert tuple(masked(labelled).first()) == ("Xxn", "x", None)
+
+
+def test_xml_values_are_parsed_by_several_tasks(spark):
+    docs = ["<a><b>1</b><c/></a>", "<a><b></b></a>", "<a/>", "<a><b>x</b><c>2</c></a>", None] * 20
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, doc string").coalesce(1)
+    found = xml_values(df, "doc", {"b": "/a/b", "c": "/a/c", "n": "count(/a/b)"})
+    assert found.rdd.getNumPartitions() > 1
+    want = [("1", "", "1"), ("", None, "1"), (None, None, None), ("x", "2", "1"), (None, None, None)]
+    for r in found.collect():
+        n = r.n and str(int(float(r.n)))
+        assert (r.b, r.c, n) == want[r.id % 5]
