@@ -19,6 +19,8 @@ BUCKETS, BYTE_GRAMS, SHAPE_GRAMS = 1 << 17, (3, 5), (1, 2, 3)
 #: At most so many labelled documents are fitted on, those of the smallest hash of their id, and at most
 #: so many buckets of theirs, four bytes each on the driver; the row that would go beyond is the first left out.
 MAX_TRAINING_ROWS, MAX_TRAINING_BUCKETS = 4_000, 32_000_000
+#: Bytes of text whose features are made at once: some hundred bytes of arrays for each.
+FEATURE_BYTES = 1 << 17
 
 _KIND = np.zeros(256, np.uint8)  # 0 other sign, 1 lower or not ASCII, 2 upper, 3 digit
 _KIND[ord("a") : ord("z") + 1] = 1
@@ -222,7 +224,7 @@ def train(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in tx.chunks(batch.column(1)):
+            for a, b in tx.chunks(batch.column(1), FEATURE_BYTES):
                 found = [np.unique(x).astype("<u4") for x in features(batch.column(1).slice(a, b - a))]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -266,7 +268,7 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
         for batch in batches:
             scores = [
                 fitted.score(found, seen)
-                for a, b in tx.chunks(batch.column(at))
+                for a, b in tx.chunks(batch.column(at), FEATURE_BYTES)
                 for found in features(batch.column(at).slice(a, b - a))
             ]
             yield pa.RecordBatch.from_arrays(

@@ -7,6 +7,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import urllib.parse
 import zlib
 from collections import Counter, defaultdict
@@ -1107,3 +1108,23 @@ def test_groups_reach_over_batches():
     table = pa.table({"k": [1, 1, 2, 2, 2, 3], "v": list(range(6))})
     parts = list(vectors.groups(iter(table.to_batches(max_chunksize=2)), 1))
     assert [(int(k[0]), t["v"].to_pylist()) for k, t in parts] == [(1, [0, 1]), (2, [2, 3, 4]), (3, [5])]
+
+
+def test_features_of_a_chunk_take_little_memory():
+    """Chunks of a batch are small, and a text's features do not depend on them."""
+    rng = random.Random(41)
+    words = ["Alpha", "beta", "7", "gamma,", "delta"]
+    texts = pa.array([" ".join(rng.choices(words, k=400)) for _ in range(300)], pa.string())
+    pieces = list(tx.chunks(texts, quality.FEATURE_BYTES))
+    assert len(pieces) > 3
+    tracemalloc.start()
+    found = []
+    for a, b in pieces:
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        part = quality.features(texts.slice(a, b - a))
+        assert tracemalloc.get_traced_memory()[1] - held < 30 << 20
+        found += [np.unique(x) for x in part]
+    tracemalloc.stop()
+    whole = [np.unique(x) for x in quality.features(texts)]
+    assert all(np.array_equal(x, y) for x, y in zip(found, whole)) and len(found) == len(whole)
