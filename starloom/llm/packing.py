@@ -19,6 +19,8 @@ from starloom.llm.cache import Recent
 
 #: Parts of texts that come in before a worker lets go of those it has not used since, and odd words.
 CACHE_PARTS, CACHE_WORDS = 100_000, 50_000
+#: Ids, of four bytes, that a task holds before it hands them on.
+HELD_IDS = 1 << 18
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint"
 
 
@@ -36,13 +38,13 @@ def _byte_letters() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(other)}
 
 
-def _splitter(file: str) -> tuple[re.Pattern | None, re.Pattern]:
+def _splitter(tokenizer) -> tuple[re.Pattern | None, re.Pattern]:
     """The tokenizer's own split of lower-cased texts of short characters, if it has that form, and
-    what finds its special strings."""
-    with open(file, encoding="utf-8") as source:
-        config = json.load(source)
-    special = [re.escape(t["content"]) for t in config.get("added_tokens") or []]
-    steps = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    what finds its special strings. Both come from the loaded tokenizer: its file, with all words
+    and merges, is not parsed once more."""
+    special = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+    split = tokenizer.pre_tokenizer
+    steps = (json.loads(split.__getstate__()) if split else {}).get("pretokenizers") or [{}]
     pattern = steps[0].get("pattern", {}).get("Regex")
     kinds = {"L": "", "N": ""}
     for c in sorted(set(_SHORT.lower())):
@@ -75,7 +77,7 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.merge, self.letters = self.tokenizer.model.tokenize, _byte_letters()
-        self.split, self.special = _splitter(file)
+        self.split, self.special = _splitter(self.tokenizer)
         self.parts = Recent(CACHE_PARTS, self._merged)
         self.words = Recent(CACHE_WORDS, self._word)
         # the short way is taken only where it gives what the tokenizer gives
@@ -161,7 +163,7 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int, longest: int = 4096)
                         column.append(value)
                     start += length
                 held += total
-                if held > 1 << 21:
+                if held > HELD_IDS:
                     yield _pieces(rows)
                     rows, held = [[], [], [], [], []], 0
             yield _pieces(rows)

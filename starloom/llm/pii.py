@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
+from starloom.llm import text as tx
+
 ROUNDS = 10
 #: Signs that are permuted together at most.
 BLOCK = 512
@@ -457,7 +459,8 @@ def pseudonymize(
 
     ``count`` names a column to add with the number of values replaced. Null texts stay null
     with count 0, empty texts empty; rows are neither dropped nor added; whole texts are
-    worked on, row by row, so repeated rows give repeated rows.
+    worked on, row by row, so repeated rows give repeated rows. New texts are handed on in runs of
+    ``text.CHUNK_BYTES``, so that a worker's memory does not follow the batch.
     """
     schema = docs.schema
     if count:
@@ -468,17 +471,18 @@ def pseudonymize(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         feistel = Feistel(key)
-        for batch in batches:
-            new, n = [], []
-            for value in batch.column(at):
-                value = value.as_py()
-                out, k = pseudonyms(value, feistel) if value is not None else (None, 0)
-                new.append(out)
-                n.append(k)
-            columns = list(batch.columns)
-            columns[at] = pa.array(new, batch.schema.field(at).type)
-            if count:
-                columns.append(pa.array(n, pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        for whole in batches:
+            for a, b in tx.chunks(whole.column(at)):
+                batch, new, n = whole.slice(a, b - a), [], []
+                for value in batch.column(at):
+                    value = value.as_py()
+                    out, k = pseudonyms(value, feistel) if value is not None else (None, 0)
+                    new.append(out)
+                    n.append(k)
+                columns = list(batch.columns)
+                columns[at] = pa.array(new, batch.schema.field(at).type)
+                if count:
+                    columns.append(pa.array(n, pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.mapInArrow(run, schema)
