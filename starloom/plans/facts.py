@@ -2,8 +2,8 @@
 
 Order of the joins: customer, day and (if the order carries it) address are resolved on the
 order headers, product on the lines; then headers and lines meet once. The lines, by far the
-largest table, are shuffled for that one join, plus for products or addresses only where those
-dimensions are too large to broadcast.
+largest table, are shuffled for that one join, plus for products or addresses only where the keys
+that they use are too many to broadcast; they are not sorted for these.
 """
 
 from __future__ import annotations
@@ -20,14 +20,31 @@ from starloom.functions import date_key
 from starloom.operators.shape import conform, dedupe, require_not_null
 from starloom.operators.skew import hot_keys, spread_join
 from starloom.plans.schemas import FACT, REQUIRED, table_schema
+from starloom.staging import settle
 
 # The order columns that hold each kind of address.
 ADDRESS_COLUMNS = {"ship": "ShipToAddressID", "bill": "BillToAddressID"}
 LINE_KEYS = ["SalesOrderID", "SalesOrderDetailID"]
+#: Rows of two ids that are sent to every task at most, some 8 MB.
+SENT_KEYS = 500_000
+
+
+def _near(keys: DataFrame, on: str, ids: DataFrame) -> DataFrame:
+    """``keys`` for a join of column ``on`` with rows whose ids are among ``ids``: broadcast if they
+    are few, or if those that occur are, else hashed partition by partition, so that the rows are
+    shuffled but not sorted."""
+    if keys.count() <= SENT_KEYS:
+        return F.broadcast(keys)
+    if ids.select(F.approx_count_distinct(on)).first()[0] <= SENT_KEYS:
+        keys = settle(keys.join(ids.select(on).distinct(), on, "left_semi"), "used_keys")
+        if keys.count() <= SENT_KEYS:
+            return F.broadcast(keys)
+    return keys.hint("shuffle_hash")
 
 
 def _surrogate(
     df: DataFrame,
+    ids: DataFrame,
     dim: DataFrame,
     natural: str,
     key: str,
@@ -36,8 +53,11 @@ def _surrogate(
     hot_rows: int | None,
     how: str = "inner",
 ) -> DataFrame:
-    """Replace the source id ``on`` by the dimension's surrogate key."""
+    """Replace the source id ``on`` by the dimension's surrogate key. ``ids`` is the source table that
+    has these ids, or more."""
     keys = dim.select(F.col(natural).alias(on), key)
+    if not hot[on]:
+        keys = _near(keys, on, ids)
     return spread_join(df, keys, on, how, hot[on], hot_rows).drop(on)
 
 
@@ -60,16 +80,16 @@ def _with_keys(
         detail, ["SalesOrderID", "ProductID", *[address] * (not on_orders)], hot_rows
     )
     orders = _surrogate(
-        orders, dims["DimCustomer"], "CustomerID", "CustomerKey", "CustomerID", hot_orders, hot_rows
+        orders, header, dims["DimCustomer"], "CustomerID", "CustomerKey", "CustomerID", hot_orders, hot_rows
     )
     lines = _surrogate(
-        lines, dims["DimProduct"], "ProductID", "ProductKey", "ProductID", hot_lines, hot_rows
+        lines, detail, dims["DimProduct"], "ProductID", "ProductKey", "ProductID", hot_lines, hot_rows
     )
     place = (dims["DimGeography"], "AddressID", "GeographyKey", address)
     if on_orders:
-        orders = _surrogate(orders, *place, hot_orders, hot_rows, geo_join)
+        orders = _surrogate(orders, header, *place, hot_orders, hot_rows, geo_join)
     else:
-        lines = _surrogate(lines, *place, hot_lines, hot_rows, geo_join)
+        lines = _surrogate(lines, detail, *place, hot_lines, hot_rows, geo_join)
     return orders, lines, hot_lines["SalesOrderID"]
 
 
@@ -82,13 +102,15 @@ def fact_wide(
     clean: bool = True,
     ids: str = "int",
     hot_rows: int | None = None,
+    whole: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order line with keys, measures and order attributes.
 
     ``geo_join="left"`` keeps lines whose address is not in the dimension. Among lines with the
     same order and line id one is kept, chosen by the lines' own values. ``header`` must be
     unique on SalesOrderID. Measures that do not fit their type become null, and ``clean``
-    drops those rows."""
+    drops those rows. ``whole`` is the source table if ``detail`` is what a join has left of it: hot
+    and used ids are looked for there, so that the join is not run for them."""
     schema = table_schema("wide", FACT, ids)
     address = ADDRESS_COLUMNS[geo_role]
     line_keys = LINE_KEYS
@@ -112,11 +134,12 @@ def fact_wide(
         "CarrierTrackingNumber",
     )
     orders, lines, hot = _with_keys(
-        header, detail, orders, lines, dims, address, geo_join, hot_rows
+        header, detail if whole is None else whole, orders, lines, dims, address, geo_join, hot_rows
     )
 
-    # Lines with equal ids meet in the partition that the join on the order id has made, so
-    # keeping one of them costs no shuffle. Orders too large for a task are a branch of their own:
+    # Lines with equal ids meet in the partition that the join on the order id needs, so keeping
+    # one of them costs no shuffle; it is done before the join, which takes the order of its sort.
+    # Orders are made unique there, too: one of equal ids never gave a line two rows. Orders too large for a task are a branch of their own:
     # their lines are thinned out by order and line id first, and the join is spread.
     # Of equal ids a line whose required values all fit comes before one that would be dropped.
     needed = [c for c in measures if c in REQUIRED[FACT]]
@@ -125,8 +148,10 @@ def fact_wide(
     order = ["_lacks", *[c for c in lines.columns if c not in [*line_keys, "_lacks"]]]
     hot = {k: n for k, n in hot.items() if k is not None}
     large = F.col("SalesOrderID").isin(list(hot)) if hot else F.lit(False)
-    usual = lines.where(~large) if hot else lines
-    sales = dedupe(usual.join(orders, "SalesOrderID"), line_keys, order)
+    usual = lines.where(F.col("SalesOrderID").isNotNull() & ~large)
+    known = orders.where(F.col("SalesOrderID").isNotNull()).repartition("SalesOrderID")
+    sales = dedupe(usual.repartition("SalesOrderID"), line_keys, order)
+    sales = sales.join(dedupe(known, ["SalesOrderID"]), "SalesOrderID")
     if hot:
         thinned = dedupe(lines.where(large), line_keys, order)
         few = orders.where(large)
@@ -149,18 +174,20 @@ def fact_narrow(
     ids: str = "int",
     hot_rows: int | None = None,
     extra: Sequence[str] = (),
+    whole: DataFrame | None = None,
 ) -> DataFrame:
     """One row per order line: four keys, quantity, amount and price. ``dims`` are the narrow
     dimensions with their natural keys. Lines are not de-duplicated in this model.
 
     ``extra`` names columns of ``detail`` to add, such as its ids, which the published columns
     leave out. Measures
-    that do not fit their type are null; ``rejects.rejected_lines`` counts them."""
+    that do not fit their type are null; ``rejects.rejected_lines`` counts them. They travel in their
+    source's type, which is shorter. ``whole`` as in ``fact_wide``."""
     schema = table_schema("narrow", FACT, ids)
     address = ADDRESS_COLUMNS[geo_role]
 
     def measure(source: str, name: str) -> Column:
-        return F.col(source).try_cast(schema[name].dataType).alias(name)
+        return F.col(source).alias(name)
 
     orders = header.select(
         "SalesOrderID",
@@ -179,9 +206,9 @@ def fact_narrow(
         measure("UnitPrice", "UnitPrice"),
     )
     orders, lines, hot = _with_keys(
-        header, detail, orders, lines, dims, address, geo_join, hot_rows
+        header, detail if whole is None else whole, orders, lines, dims, address, geo_join, hot_rows
     )
     sales = spread_join(lines, orders, "SalesOrderID", "inner", hot, hot_rows)
     more = [T.StructField(c, detail.schema[c].dataType) for c in extra]
     schema = T.StructType([*schema.fields, *more])
-    return conform(sales, schema)
+    return conform(sales, schema, tolerant=["OrderQuantity", "SalesAmount", "UnitPrice"])
