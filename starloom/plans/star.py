@@ -161,7 +161,7 @@ def _growing_star(
 ) -> dict[str, DataFrame]:
     """The star's tables with keys that stay from load to load; when appending, only the lines
     and dimension rows that are not there yet. New keys are on record before rows use them."""
-    detail = source("SalesOrderDetail")
+    detail = whole = source("SalesOrderDetail")
     spark = detail.sparkSession
     append = mode == "append"
     held = {name: keys.read(spark, name) if append else None for name in NATURAL_KEYS}
@@ -179,14 +179,16 @@ def _growing_star(
     lines = line_columns(model)
     if model == "narrow":
         # this model keeps every line: of those with equal ids each is known by its own values
-        detail = detail.withColumn("LineHash", F.xxhash64(*detail.columns))
+        detail = whole = detail.withColumn("LineHash", F.xxhash64(*detail.columns))
     if loaded is not None:
         detail = detail.join(loaded, lines, "left_anti").select(*detail.columns)
     header = source("SalesOrderHeader")
     if model == "wide":
-        fact = settle(fact_wide(header, detail, dims, ids=ids), FACT)
+        fact = fact_wide(header, detail, dims, ids=ids, whole=whole)
+        if not hasattr(sink, "written"):
+            fact = settle(fact, FACT)
     else:
-        fact = settle(fact_narrow(header, detail, dims, ids=ids, extra=lines), FACT)
+        fact = settle(fact_narrow(header, detail, dims, ids=ids, extra=lines, whole=whole), FACT)
     star = {name: conform(dims[name], table_schema(model, name, ids)) for name in DIMENSIONS}
     star[FACT] = fact
     if append and (fresh_rows := getattr(sink, "new_rows", None)):
@@ -235,7 +237,10 @@ def run_warehouse(
     star[FACT] = conform(lines, table_schema(model, FACT, ids))
     load_star(star, sink, mode, getattr(sink, "keep_tables", False))
     if keys is not None:
-        keys.write(FACT, lines.select(*line_columns(model)).distinct(), mode)
+        if model == "wide" and hasattr(sink, "written"):  # it has all columns of the lines
+            lines = star[FACT] = sink.written(FACT, star[FACT].schema)
+        # a line that is there twice is known twice: that costs less than a shuffle of all lines
+        keys.write(FACT, lines.select(*line_columns(model)), mode)
     if kept is not None:
         kept.add(sink, star[FACT], mode)
     if publish := getattr(sink, "publish", None):
