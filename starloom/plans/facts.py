@@ -3,7 +3,7 @@
 Order of the joins: customer, day and (if the order carries it) address are resolved on the
 order headers, product on the lines; then headers and lines meet once. The lines, by far the
 largest table, are shuffled for that one join, plus for products or addresses only where the keys
-that they use are too many to broadcast; they are not sorted for these.
+that they use are too many to broadcast.
 """
 
 from __future__ import annotations
@@ -31,15 +31,14 @@ SENT_KEYS = 500_000
 
 def _near(keys: DataFrame, on: str, ids: DataFrame) -> DataFrame:
     """``keys`` for a join of column ``on`` with rows whose ids are among ``ids``: broadcast if they
-    are few, or if those that occur are, else hashed partition by partition, so that the rows are
-    shuffled but not sorted."""
+    are few, or if those that occur are; else Spark's own threshold decides."""
     if keys.count() <= SENT_KEYS:
         return F.broadcast(keys)
     if ids.select(F.approx_count_distinct(on)).first()[0] <= SENT_KEYS:
         keys = settle(keys.join(ids.select(on).distinct(), on, "left_semi"), "used_keys")
         if keys.count() <= SENT_KEYS:
             return F.broadcast(keys)
-    return keys.hint("shuffle_hash")
+    return keys
 
 
 def _surrogate(
