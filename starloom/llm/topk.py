@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -10,11 +11,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.vectors import by_length, usable
+from starloom.llm.vectors import by_length, slices, usable
 from starloom.staging import settle
 
 #: Vectors in a block, and bins of a histogram round.
 BLOCK, BINS = 1024, 1024
+#: Bytes of query blocks that a task holds, and pairs of blocks that Python holds.
+PART, HELD = 16 << 20, 16
 #: Scores beyond count as this much; so do scaled components, whose products are told apart below it.
 LARGEST = 1 << 61
 _BLOCKS = "block bigint, dim int, ids binary, numbers binary, top bigint, square double"
@@ -108,8 +111,10 @@ def top_k(
     in question; the bin in which the kth score lies is the next round's range, until a bin is
     one score wide. A task sends no bins below those that hold k scores of its own block, for
     the kth score of all can't lie there. The last pass keeps what reaches the kth score; of equal
-    scores a block keeps no more than are wanted. Query blocks are dealt to slots of candidate
-    blocks, so the work of a query spreads over all of them.
+    scores a block keeps no more than are wanted. Query blocks are cut into parts of PART bytes; a
+    task scores one part against the candidates of one file range, so the work of a query spreads over
+    all of them. The parts are shuffled once a round, not copied for each task, and nothing is broadcast: the
+    joins are hinted, since Spark would judge a state by its file, which is far smaller than its rows.
     """
     spark = vectors.sparkSession
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).select(
@@ -120,8 +125,9 @@ def top_k(
     # no score is larger than the largest squared length
     bound = candidates.agg(F.max("square")).first()[0] or 0
     bound = min(int(bound * (1 + 1e-9)) + 1, LARGEST)
-    slots = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = candidates.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)))
+    blocks, size = queries.agg(F.count("block"), F.sum(F.octet_length("numbers").cast("long"))).first()
+    # a few parts at least, for where candidates lie in few files
+    parts = max(1 + (size or 0) // PART, min(blocks, isqrt(int(spark.conf.get("spark.sql.shuffle.partitions")))))
     asked = queries.select(
         F.col("block").alias("q_block"), "dim", F.col("ids").alias("q_ids"),
         F.col("numbers").alias("q_numbers"), F.col("top").alias("q_top"),
@@ -131,9 +137,8 @@ def top_k(
         held = state.groupBy("q_block").agg(
             F.collect_list(F.struct("place", "low", "width", "wanted")).alias("states")
         )
-        everywhere = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slots - 1).cast("bigint")))
-        mine = asked.join(held, "q_block").select("*", everywhere.alias("slot"))
-        return dealt.join(mine, ["slot", "dim"])
+        mine = asked.join(held.hint("merge"), "q_block").repartition(parts)
+        return candidates.join(mine.hint("shuffle_replicate_nl"), "dim")
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,7 +148,6 @@ def top_k(
                     {
                         "q_block": np.full(n, row["q_block"]),
                         "place": np.arange(n, dtype=np.int32),
-                        "query_id": np.frombuffer(row["q_ids"], "<i8"),
                     }
                 )
 
@@ -152,16 +156,16 @@ def top_k(
         width *= BINS
     state = settle(
         asked.select("q_block", "q_ids")
-        .mapInArrow(places, "q_block bigint, place int, query_id bigint")
+        .mapInArrow(places, "q_block bigint, place int")
         .select(
-            "q_block", "place", "query_id", F.lit(-bound).cast("long").alias("low"),
+            "q_block", "place", F.lit(-bound).cast("long").alias("low"),
             F.lit(width).cast("long").alias("width"), F.lit(k).cast("long").alias("wanted"),
         ),
         "topk_state",
     )
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, HELD):
             for row in batch.to_pylist():
                 q_ids, _, scores = _scores(row)
                 low, wide, wanted = _states(row, len(q_ids))
@@ -204,12 +208,12 @@ def top_k(
             ),
         )
         found = counted.groupBy(*keys).agg(bins.alias("bins"))
-        step = state.join(found, keys, "left").withColumn("reached", reached)
+        step = state.join(found.hint("merge"), keys, "left").withColumn("reached", reached)
         done = F.coalesce(F.col("reached.done"), F.lit(False))
         width //= BINS
         state = settle(
             step.select(
-                *keys, "query_id",
+                *keys,
                 # too few candidates: everything from the lowest score on is wanted
                 F.when(done, F.col("low") + F.col("reached.bin") * F.col("width"))
                 .otherwise(F.col("low")).alias("low"),
@@ -223,7 +227,7 @@ def top_k(
             break
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, HELD):
             for row in batch.to_pylist():
                 q_ids, c_ids, scores = _scores(row)
                 low, _, wanted = _states(row, len(q_ids))

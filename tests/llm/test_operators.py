@@ -831,6 +831,20 @@ def test_top_k_whole_table(spark, folder):
     assert got == brute_top(rows, lambda i: i % 50 == 0, 5)
 
 
+def test_top_k_sends_no_blocks_through_the_driver(spark, monkeypatch):
+    """Query blocks were copied for every slot and broadcast by the size of their file."""
+    rng, plans, settle = np.random.default_rng(7), [], topk.settle
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(topk, "settle", lambda df, name: plans.append(plan_of(df)) or settle(df, name))
+    monkeypatch.setattr(topk, "BLOCK", 10)
+    monkeypatch.setattr(topk, "PART", 100)
+    rows = [(k, rng.integers(-9, 10, 5).astype(float).tolist()) for k in range(200)]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 4 == 0, 3)
+    plans.append(plan_of(found))
+    assert len(plans) > 4 and not any("Broadcast" in p or "explode" in p for p in plans)
+    assert Counter(map(tuple, found.collect())) == brute_top(rows, lambda i: i % 4 == 0, 3)
+
+
 # 8 URLs ---------------------------------------------------------------------------------------
 
 
